@@ -42,12 +42,12 @@ from tidewell.operators import (  # noqa: E402
     bind_rows,
     collapse_rows,
     map_records,
-    mark_rejects,
     number_rows,
     pack_rows,
     read_tables,
     slice_by_tags,
     slice_by_time,
+    split_rejects,
     top_per_table,
     unpack_rows,
 )
@@ -220,10 +220,10 @@ def per_table_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def per_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The large-limit path: rows are numbered day by day, later days are dropped early."""
+    """The path for large limits, with pieces small enough to split these sub-tables too."""
     rows = _meters(spark, sf_dir).select("event_id", "ts", "tbname")
     numbered = number_rows(
-        rows, ["tbname"], ["ts desc", "event_id desc"], F.date_trunc("day", "ts"), "position", up_to=40
+        rows, ["tbname"], ["ts desc", "event_id desc"], "position", up_to=40, piece_rows=16
     )
     return numbered.select("event_id", "tbname", "position")
 
@@ -429,26 +429,22 @@ def values_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(table.read())
 
 
-def coerce_target() -> list[T.StructField]:
-    return [column_field("reading", "TINYINT"), column_field("code", "INT")]
-
-
-def _coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _coerced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     raw = _meters(spark, sf_dir).select(
         "event_id",
         (F.col("voltage") * 3).alias("reading"),
         F.when(F.col("voltage") % 7 == 0, F.lit("n/a")).otherwise(F.col("voltage").cast("string")).alias("code"),
     )
-    return mark_rejects(raw, coerce_target())
+    return split_rejects(raw, [column_field("reading", "TINYINT"), column_field("code", "INT")])
 
 
 def coerce_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coerced(spark, sf_dir).where(F.size("rejected") == 0).drop("rejected")
+    return _coerced(spark, sf_dir)[0]
 
 
 def coerce_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = _coerced(spark, sf_dir).where(F.size("rejected") > 0)
-    return bad.select("event_id", F.concat_ws(",", "rejected").alias("columns"))
+    rejects = _coerced(spark, sf_dir)[1]
+    return rejects.select("event_id", "reading", "code", F.concat_ws(",", "rejected").alias("columns"))
 
 
 TYPE_COLUMNS = {

@@ -177,8 +177,9 @@ ORACLES: dict[str, str] = {
     "coerce_rejects": _m(
         _COERCED
         + """
-        SELECT event_id, concat_ws(',', CASE WHEN reading > 127 THEN 'reading' END,
-                                        CASE WHEN bad_code THEN 'code' END) AS columns
+        SELECT event_id, reading, CASE WHEN bad_code THEN 'n/a' ELSE CAST(voltage AS VARCHAR) END AS code,
+               concat_ws(',', CASE WHEN reading > 127 THEN 'reading' END,
+                              CASE WHEN bad_code THEN 'code' END) AS columns
         FROM C WHERE reading > 127 OR bad_code
         """
     ),

@@ -34,6 +34,11 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    file_system, hadoop_path = _resolve(spark, path)
+    file_system.mkdirs(hadoop_path)
+
+
 def read_json(spark: SparkSession, path: str):
     file_system, hadoop_path = _resolve(spark, path)
     stream = file_system.open(hadoop_path)

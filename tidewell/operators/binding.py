@@ -86,21 +86,26 @@ def bind_rows(
     return named.select(*columns)
 
 
-def mark_rejects(df: DataFrame, fields: Sequence[T.StructField], out: str = "rejected") -> DataFrame:
-    """Rows with the listed columns converted, and in ``out`` the names of those that did not.
+def split_rejects(
+    df: DataFrame, fields: Sequence[T.StructField], out: str = "rejected"
+) -> tuple[DataFrame, DataFrame]:
+    """The rows whose listed columns all convert, converted; and the other rows as they came,
+    with the names of the columns that did not convert in ``out``.
 
-    The rows with an empty ``out`` are good; the others are the side output. A column that did
-    not convert keeps NULL; the raw row can be kept in columns that are not listed.
+    Both are lazy and read the input on their own; persist it first if it is costly.
     """
     target = {f.name: f for f in fields}
-    failed, columns = [], []
+    good, failed = [], {}
     for name in df.columns:
         raw = F.col(f"`{name}`")
-        if name not in target:
-            columns.append(raw)
-            continue
-        value = raw.try_cast(target[name].dataType)
-        failed.append(F.when(raw.isNotNull() & value.isNull(), F.lit(name)))
-        columns.append(value.alias(name))
-    rejects = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return df.select(*columns, rejects.alias(out))
+        if name in target:
+            value = raw.try_cast(target[name].dataType)
+            failed[name] = raw.isNotNull() & value.isNull()
+            raw = value.alias(name)
+        good.append(raw)
+    any_failed = F.lit(False)
+    for condition in failed.values():
+        any_failed = any_failed | condition
+    names = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in failed.items()]))
+    rejects = df.where(any_failed).withColumn(out, names.cast("array<string>"))
+    return df.where(~any_failed).select(*good), rejects

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+SALTS = 16
 
 
 def _is_descending(item: str) -> bool:
@@ -21,36 +23,69 @@ def sort_columns(order_by: Sequence[str]) -> list[Column]:
     return [F.col(_bare(i)).desc() if _is_descending(i) else F.col(_bare(i)).asc() for i in order_by]
 
 
+def _scale(df: DataFrame, name: str) -> Column:
+    """The order column as a number that grows with it."""
+    data_type = df.schema[name].dataType
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(F.col(name)).cast("long")
+    if isinstance(data_type, T.NumericType):
+        return F.col(name)
+    raise ValueError(f"large groups are split along a time or number column, not {name!r}")
+
+
 def number_rows(
     df: DataFrame,
     group: Sequence[str],
     order_by: Sequence[str],
-    chunk: Column | None = None,
     out: str = "row_number",
     up_to: int | None = None,
+    piece_rows: int = 4_000_000,
 ) -> DataFrame:
-    """``row_number`` per group in the given order, without sorting a whole group in one task.
+    """``row_number`` per group in the given order, without sorting a large group in one task.
+
+    A group of more than ``piece_rows`` rows is cut into consecutive pieces of equal width
+    along the first order column (a time or a number); any other group is one piece. The
+    pieces are counted (partial aggregation over the key columns only), the counts are summed
+    up along the group, and each row is then numbered within its piece. A group costs one task
+    only its list of pieces. Rows with an equal first order value stay together; for a time
+    column of a super table these are copies of one row key.
 
-    ``chunk`` cuts every group into consecutive pieces: a column that never decreases along
-    the first order column. By default it is the hour of that (time) column. Pieces are
-    counted first (partial aggregation, two or three columns read), the counts are summed up
-    along the group, and each row is then numbered within its piece. A group thus costs one
-    task only its list of pieces; its rows spread over as many tasks as it has pieces.
+    The list of large groups has at most one entry per ``piece_rows`` rows of input. Join
+    strategies are the optimizer's, which broadcasts only below its size threshold; beyond it
+    the salt spreads the large groups. The rows themselves are shuffled for the numbering only.
 
     ``up_to`` keeps the numbers up to that one and drops whole pieces beyond it early.
     """
-    first = order_by[0]
-    piece = F.date_trunc("hour", F.col(_bare(first))) if chunk is None else chunk
-    # A struct key matches NULLs with NULLs, and both the join and the window below use it,
-    # so that the rows are shuffled once.
-    pieces = df.withColumn("_piece", F.struct(*group, piece.alias("_at")))
-
-    along = F.col("_piece._at").desc() if _is_descending(first) else F.col("_piece._at").asc()
-    earlier = (
-        Window.partitionBy(*[F.col(f"_piece.{g}") for g in group])
-        .orderBy(along)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    first = _bare(order_by[0])
+    at = _scale(df, first)
+    # Struct keys match NULLs with NULLs.
+    rows = df.withColumn("_group", F.struct(*group))
+    large = (
+        rows.groupBy("_group")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_low"), F.max(at).alias("_high"))
+        .where(F.col("_rows") > piece_rows)
+        # four times as many pieces as needed, since rows are not spread evenly
+        .withColumn("_width", (F.col("_high") - F.col("_low") + 1) * piece_rows / F.col("_rows") / 4)
+        .select("_group", "_low", F.greatest(F.col("_width"), F.lit(1.0)).alias("_width"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
+    salt = F.pmod(F.xxhash64(*[F.col(_bare(i)) for i in order_by]), F.lit(SALTS)).cast("int")
+    number = (
+        F.when(F.col("_width").isNull(), F.lit(0))
+        .when(at.isNull(), F.lit(-1))
+        .otherwise(F.floor((at - F.col("_low")) / F.col("_width")))
+    )
+    pieces = (
+        rows.withColumn("_salt", salt)
+        .join(large, ["_group", "_salt"], "left")
+        .withColumn("_piece", F.struct("_group", number.cast("long").alias("_number")))
+        .drop("_salt", "_low", "_width", "_group")
+    )
+
+    along = F.col("_piece._number").desc() if _is_descending(order_by[0]) else F.col("_piece._number").asc()
+    earlier = Window.partitionBy("_piece._group").orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         pieces.groupBy("_piece")
         .agg(F.count(F.lit(1)).alias("_rows"))

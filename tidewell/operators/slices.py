@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..model import TBNAME
 from ..plans.time_range import TimeRange
-from .numbering import number_rows, sort_columns
+from .numbering import SALTS, number_rows, sort_columns
 
 # Up to here a list of names is a plain IN condition, which the file scan can use.
 IN_LIST_NAMES = 1_000
@@ -21,7 +21,6 @@ IN_LIST_NAMES = 1_000
 BROADCAST_LIST_BYTES = 8 << 20
 # Up to here Spark itself cuts every group before the shuffle.
 GROUP_LIMIT_ROWS = 1_000
-SALTS = 16
 
 
 def slice_by_time(df: DataFrame, time_range: TimeRange, out: str = "slice") -> DataFrame:
@@ -91,16 +90,14 @@ def _join_listed(df: DataFrame, listed: DataFrame, name: str, spread: str) -> Da
     return _repeat(salted.join(copies, [name, "_salt"]), F.col("_times")).select(*df.columns)
 
 
-def top_per_table(
-    df: DataFrame, limit: int, order_by: Sequence[str], name: str = TBNAME, chunk: Column | None = None
-) -> DataFrame:
+def top_per_table(df: DataFrame, limit: int, order_by: Sequence[str], name: str = TBNAME) -> DataFrame:
     """The first ``limit`` rows of every sub-table in the order given.
 
     Small limits cut every sub-table before the shuffle (the plan shows a partial group
-    limit). For large ones the rows are numbered chunk by chunk, and chunks past the limit
-    are dropped before they are sorted.
+    limit). For large ones the rows are numbered piece by piece, and pieces past the limit are
+    dropped before they are sorted.
     """
     if limit <= GROUP_LIMIT_ROWS:
         window = Window.partitionBy(name).orderBy(*sort_columns(order_by))
         return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).drop("_rank")
-    return number_rows(df, [name], order_by, chunk, out="_rank", up_to=limit).drop("_rank")
+    return number_rows(df, [name], order_by, out="_rank", up_to=limit).drop("_rank")

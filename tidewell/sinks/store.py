@@ -13,6 +13,7 @@ need that; the other days are read from the base as they are, without a shuffle.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
@@ -25,6 +26,7 @@ from ..operators.binding import bind_rows
 from ..operators.collapse import collapse_rows
 
 MAX_ROWS_PER_FILE = 20_000_000
+SALTS = 8
 
 
 class TableStore:
@@ -34,6 +36,7 @@ class TableStore:
     @staticmethod
     def create(spark: SparkSession, path: str, spec: TableSpec) -> "TableStore":
         fs.write_json(spark, f"{path.rstrip('/')}/table.json", spec.to_json())
+        fs.make_folder(spark, f"{path.rstrip('/')}/log")
         return TableStore(spark, path, spec)
 
     @staticmethod
@@ -54,8 +57,11 @@ class TableStore:
         writers: int | None = None,
     ) -> None:
         """Write rows as one batch. The same ``batch`` id again replaces what it wrote before."""
+        batch = batch or uuid.uuid4().hex
+        if not re.fullmatch(r"[\w.-]+", batch):
+            raise ValueError(f"a batch id has letters, digits, '_', '.' and '-' only, not {batch!r}")
         rows = bind_rows(df, self.spec, fields, by)
-        self._write(rows, f"{self.path}/log/_batch={batch or uuid.uuid4().hex}", writers)
+        self._write(rows, f"{self.path}/log/_batch={batch}", writers)
 
     def _write(self, rows: DataFrame, target: str, writers: int | None = None) -> None:
         layout = self.spec.layout
@@ -64,7 +70,12 @@ class TableStore:
             # put small ones together; the sort gives each file narrow key ranges.
             rows = rows.withColumns(layout)
             hinted = [writers, *layout] if writers else [*layout]
-            rows = rows.hint("rebalance", *hinted).sortWithinPartitions(*layout, *self.spec.key)
+            if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+                rows = rows.hint("rebalance", *hinted)
+            else:
+                salt = F.pmod(F.xxhash64(self.spec.time), F.lit(SALTS))
+                rows = rows.repartition(*hinted, salt)
+            rows = rows.sortWithinPartitions(*layout, *self.spec.key)
         elif writers:
             rows = rows.hint("rebalance", writers)
         writer = rows.write.mode("overwrite").options(
@@ -91,11 +102,9 @@ class TableStore:
         return {batch for _, made in self._generations() for batch in made["batches"]}
 
     def _days_of(self, batches: Sequence[str]) -> list[str]:
-        days: set[str] = set()
-        for batch in batches:
-            found = fs.glob(self.spark, f"{self.path}/log/_batch={batch}/day=*")
-            days.update(p.rsplit("day=", 1)[1] for p in found)
-        return sorted(days)
+        found = (p.split("/")[-2:] for p in fs.glob(self.spark, f"{self.path}/log/_batch=*/day=*"))
+        wanted = {f"_batch={batch}" for batch in batches}
+        return sorted({day.removeprefix("day=") for batch, day in found if batch in wanted})
 
     # -- read ----------------------------------------------------------------------------
 
