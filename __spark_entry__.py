@@ -37,7 +37,7 @@ from tidewell.functions import (  # noqa: E402
     row_tuple,
     to_millis_precision,
 )
-from tidewell.model import buckets_for, input_bytes  # noqa: E402
+from tidewell.model import input_bytes, layout_for  # noqa: E402
 from tidewell.operators import (  # noqa: E402
     bind_rows,
     collapse_rows,
@@ -103,6 +103,10 @@ def _local(df: DataFrame) -> DataFrame:
 DAYS = 30  # the events cover one month
 
 
+def _layout(spark: SparkSession, sf_dir: str) -> dict:
+    return layout_for(input_bytes(_events(spark, sf_dir)) / DAYS)
+
+
 def _meters_spec(spark: SparkSession, sf_dir: str, name: str = "meters") -> TableSpec:
     return TableSpec.super(
         name,
@@ -116,7 +120,7 @@ def _meters_spec(spark: SparkSession, sf_dir: str, name: str = "meters") -> Tabl
             column_field("groupid", "INT", tag=True),
         ],
         order_by=("event_id",),
-        buckets=buckets_for(input_bytes(_events(spark, sf_dir)) / DAYS),
+        **_layout(spark, sf_dir),
     )
 
 
@@ -466,7 +470,7 @@ def types_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = TableSpec.super(
         "all_types",
         [column_field("ts", "TIMESTAMP"), *[column_field(n, t) for n, t in TYPE_COLUMNS.items()]],
-        buckets=buckets_for(input_bytes(_events(spark, sf_dir)) / DAYS),
+        **_layout(spark, sf_dir),
     )
     values = {
         "int_col": F.col("voltage"),
@@ -571,7 +575,7 @@ def stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hourly",
         [column_field("ts", "TIMESTAMP"), column_field("event_id", "BIGINT"), column_field("voltage", "INT")],
         order_by=("event_id",),
-        buckets=buckets_for(input_bytes(_events(spark, sf_dir)) / DAYS),
+        **_layout(spark, sf_dir),
     )
     table = _lake(spark, "stream-collapse").create_table("power", spec)
     hourly = _meters_stream(spark, sf_dir).select(

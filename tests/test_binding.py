@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import types as T
@@ -62,6 +64,38 @@ def test_a_number_out_of_range_is_an_error(spark):
         bind_rows(spark.range(300, 301).withColumnRenamed("id", "small"), spec).collect()
 
 
+@pytest.mark.parametrize(
+    "value, type_name, ok",
+    [
+        ("1.0D", "INT", True), ("1.5D", "INT", False), ("cast(3e9 as double)", "INT", False), ("1", "BOOL", True),
+        ("5", "BOOL", False), ("true", "INT", True), ("cast(50.3 as decimal(4,1))", "FLOAT", True),
+        ("0.1D", "FLOAT", True), ("'7'", "SMALLINT", True), ("'7.5'", "SMALLINT", False), ("7", "VARCHAR", True),
+        ("128", "TINYINT", False), ("cast(null as string)", "INT", True), ("cast(null as double)", "INT", True), ("null", "GEOMETRY", True),
+        ("timestamp_ntz'2024-01-01'", "TIMESTAMP", True), ("'2024-01-01 00:00:00'", "TIMESTAMP", True),
+        ("'soon'", "TIMESTAMP", False),
+    ],
+)
+def test_values_convert_without_loss_or_not_at_all(spark, value, type_name, ok):
+    spec = TableSpec.normal("t", [column_field("a", type_name)])
+    df = spark.sql(f"select {value} a")
+    if ok:
+        assert bind_rows(df, spec).count() == 1 and bind_rows(df, spec).collect()
+    else:
+        with pytest.raises(SparkRuntimeException, match="field 0"):
+            bind_rows(df, spec).collect()
+    good, bad = split_rejects(df, spec.schema.fields)
+    assert (len(good.collect()), len(bad.collect())) == ((1, 0) if ok else (0, 1))
+
+
+@pytest.mark.parametrize(
+    "value, type_name", [("1L", "TIMESTAMP"), ("timestamp'2024-01-01'", "BIGINT"), ("'a'", "GEOMETRY"), ("X'00'", "INT")]
+)
+def test_types_that_never_fit_fail_before_any_row_moves(spark, value, type_name):
+    spec = TableSpec.normal("t", [column_field("a", type_name)])
+    with pytest.raises(ValueError, match="field 0 .*column a.* does not take"):
+        bind_rows(spark.sql(f"select {value} a"), spec)
+
+
 def test_null_stays_null_and_unbound_columns_are_null(spark):
     df = spark.createDataFrame([("d1", None, None)], "tbname string, ts timestamp, voltage string")
     row = bind_rows(df, meters.spec(), ["tbname", "ts", "voltage"])
@@ -108,6 +142,12 @@ def test_decode_texts_in_a_charset(spark):
     assert decode_rows(df, schema, "ISO-8859-1").first() == (bytearray.fromhex("98f46e"), "Zürich", None)
 
 
+def test_decode_epoch_milliseconds(spark):
+    schema = T.StructType([column_field("ts", "TIMESTAMP")])
+    row = decode_rows(spark.sql("select 1734624768123L ts"), schema).first()
+    assert row["ts"] == datetime(2024, 12, 19, 16, 12, 48, 123000)
+
+
 @pytest.mark.parametrize("batch", ["cast(null as array<struct<a:int>>)", "cast(array() as array<struct<a:int>>)"])
 def test_a_null_or_empty_batch_is_an_error(spark, batch):
     with pytest.raises(SparkRuntimeException, match="NULL or empty"):

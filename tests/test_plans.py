@@ -58,7 +58,7 @@ def test_a_small_limit_cuts_groups_before_the_shuffle(spark, table):
 def test_restricted_reads_leave_out_folders(table):
     text = plan(table.read(datetime(2024, 12, 19, 18), datetime(2024, 12, 19, 20), ["d1001"]))
     folders = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
-    assert "day" in folders and "bucket" in folders
+    assert "period" in folders and "bucket" in folders
     assert "GreaterThanOrEqual(ts,2024-12-19 18:00:00.0)" in text
     assert "EqualTo(tbname,d1001)" in text or "In(tbname" in text
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell import TableSpec, column_field
-from tidewell.model import buckets_for
+from tidewell.model import layout_for
 
 from . import meters
 
@@ -80,8 +80,8 @@ def test_only_touched_days_are_written_anew(table, spark):
     table.append(rows.where("voltage = 201").withColumn("phase", F.col("phase") + 1), batch="three")
     table.compact()
     generations = dict(table._generations())
-    assert generations[0]["days"] == ["2024-12-19", "2024-12-20"]
-    assert generations[1] == {"batches": ["three"], "days": ["2024-12-19"]}
+    assert generations[0]["periods"] == ["2024-12-19", "2024-12-20"]
+    assert generations[1] == {"batches": ["three"], "periods": ["2024-12-19"]}
     assert table.read().count() == 36
     assert table.read().where("phase > 1").count() == 3
 
@@ -135,7 +135,7 @@ def test_the_day_of_a_row_does_not_depend_on_the_session(table, spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
         table.append(meters.frame(spark), batch="again")
-        assert table._days_of(table.batches()) == ["2024-12-19"]
+        assert table._periods_of(table.batches()) == ["2024-12-19"]
         assert table.read(datetime(2024, 12, 19, 17), datetime(2024, 12, 19, 18)).count() == 6
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -152,10 +152,25 @@ def test_writers(table, spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_bucket_counts_follow_the_size():
-    assert buckets_for(10 << 20) == 1
-    assert buckets_for(100 << 30) == 25
-    assert buckets_for(100 << 40) == 512
+def test_the_layout_follows_the_size():
+    assert layout_for(50 << 10) == {"period": "year", "buckets": 1}
+    assert layout_for(10 << 20) == {"period": "month", "buckets": 1}
+    assert layout_for(100 << 30) == {"period": "day", "buckets": 25}
+    assert layout_for(100 << 40) == {"period": "day", "buckets": 512}
+
+
+@pytest.mark.parametrize("period, folder", [("day", "2024-12-19"), ("month", "2024-12-01"), ("year", "2024-01-01")])
+def test_periods(lake, spark, period, folder):
+    table = lake.create_table("power", meters.spec(period, period=period, buckets=2))
+    table.append(meters.frame(spark), batch="one")
+    assert table._periods_of(["one"]) == [folder]
+    assert table.read(datetime(2024, 12, 19, 18), datetime(2024, 12, 19, 19)).count() == 6
+    table.compact()
+    table.append(meters.frame(spark).withColumn("ts", F.col("ts") + F.expr("interval 2 years")), batch="two")
+    assert table.read(datetime(2024, 12, 19, 18)).count() == 12 + 18
+    assert table.read().count() == 36
+    with pytest.raises(ValueError, match="period"):
+        meters.spec(period="week")
 
 
 def test_tables_of_a_database(lake):

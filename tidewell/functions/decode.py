@@ -11,12 +11,17 @@ _RAW = {"VARBINARY", "GEOMETRY"}
 
 
 def decode_column(source: Column, source_type: T.DataType, target: T.StructField, charset: str = "UTF-8") -> Column:
-    """One raw value as the type of ``target``; NULL stays NULL, a bad value is an error."""
+    """One raw value as the type of ``target``; NULL stays NULL, a bad value is an error.
+
+    Texts may come as bytes in ``charset``, time stamps as epoch milliseconds.
+    """
     kind = type_name_of(target)
     if kind in _TEXT and isinstance(source_type, T.BinaryType):
         return F.decode(source, charset)
     if kind in _RAW and isinstance(source_type, T.StringType):
         return F.encode(source, charset)
+    if kind == "TIMESTAMP" and isinstance(source_type, T.IntegralType):
+        return F.timestamp_millis(source)
     return source.cast(target.dataType)
 
 

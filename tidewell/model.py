@@ -27,6 +27,7 @@ COLUMN_TYPES: dict[str, T.DataType] = {
 }
 
 TBNAME = "tbname"
+PERIODS = ("day", "month", "year")
 TYPE_KEY = "column_type"
 
 
@@ -72,6 +73,11 @@ class TableSpec:
     order_by: tuple[str, ...] = ()
     normal_key: tuple[str, ...] = ()
     buckets: int = 1
+    period: str = "day"
+
+    def __post_init__(self):
+        if self.period not in PERIODS:
+            raise ValueError(f"a period is one of {', '.join(PERIODS)}, not {self.period!r}")
 
     @staticmethod
     def super(name: str, columns: Sequence[T.StructField], **settings) -> "TableSpec":
@@ -101,7 +107,8 @@ class TableSpec:
         """Directory columns of the stored table, each a function of the row key."""
         if not self.super_table:
             return {}
-        return {"day": day_of(F.col(self.time)), "bucket": bucket_of(F.col(TBNAME), self.buckets)}
+        period = period_of(F.col(self.time), self.period)
+        return {"period": period, "bucket": bucket_of(F.col(TBNAME), self.buckets)}
 
     def to_json(self) -> dict:
         return {
@@ -112,6 +119,7 @@ class TableSpec:
             "order_by": list(self.order_by),
             "normal_key": list(self.normal_key),
             "buckets": self.buckets,
+            "period": self.period,
         }
 
     @staticmethod
@@ -124,12 +132,14 @@ class TableSpec:
             tuple(value["order_by"]),
             tuple(value["normal_key"]),
             value["buckets"],
+            value["period"],
         )
 
 
-def day_of(instant: Column) -> Column:
-    """The UTC day of an instant, whatever zone the session has."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))
+def period_of(instant: Column, period: str) -> Column:
+    """The first day of the UTC day, month or year of an instant, whatever zone the session has."""
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))
+    return day if period == "day" else F.trunc(day, period)
 
 
 def bucket_of(name: Column, buckets: int) -> Column:
@@ -137,13 +147,16 @@ def bucket_of(name: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
 
 
-def buckets_for(bytes_per_day: float, leaf_bytes: int = 4 << 30, most: int = 512) -> int:
-    """How many buckets keep one day's bucket near ``leaf_bytes``.
+def layout_for(bytes_per_day: float, leaf_bytes: int = 4 << 30, most: int = 512) -> dict:
+    """``period`` and ``buckets`` of a super table, from how much a day holds.
 
-    Small tables get one bucket (no tiny files); a day of several TB gets hundreds, so a read of
-    one sub-table touches a small share of each day.
+    Days of several TB get hundreds of buckets, so a read of one sub-table touches a small
+    share of each day. Days of a few MB share a folder with their month or year, so that files
+    do not get tiny.
     """
-    return max(1, min(most, round(bytes_per_day / leaf_bytes)))
+    buckets = max(1, min(most, round(bytes_per_day / leaf_bytes)))
+    period = "year" if bytes_per_day < 1 << 20 else "month" if bytes_per_day < 32 << 20 else "day"
+    return {"period": period, "buckets": buckets}
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -33,20 +33,49 @@ def check_arity(df: DataFrame, fields: Sequence[T.StructField]) -> None:
         raise ValueError(f"rows have {len(df.columns)} fields, but {len(fields)} columns are bound")
 
 
-def _same(source: T.DataType, target: T.DataType) -> bool:
-    text = (T.StringType, T.VarcharType, T.CharType)
-    return source == target or (isinstance(source, text) and isinstance(target, T.StringType))
+_TEXT = (T.StringType, T.VarcharType, T.CharType)
+_MOMENT = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _convert(index: int, column: Column, source: T.DataType, target: T.StructField) -> tuple[Column, Column | None]:
+    """The value in the target's type (NULL if it has none there), and the condition that it
+    was lost. A condition of None means that every value converts.
+
+    Numbers convert if nothing but floating-point precision is lost, texts are parsed, local
+    times are read in the session's zone. A type that never fits is an error right away.
+    """
+    to = target.dataType
+    if source == to or (isinstance(source, _TEXT) and isinstance(to, T.StringType)):
+        return column, None
+    if isinstance(source, T.NullType):
+        return F.lit(None).cast(to), None
+    value = column.try_cast(to)
+    lost = column.isNotNull() & value.isNull()
+    numbers = (T.NumericType, T.BooleanType)
+    if isinstance(source, numbers) and isinstance(to, numbers):
+        if isinstance(to, (T.IntegralType, T.BooleanType)):
+            lost = ~value.try_cast(source).eqNullSafe(column)
+        return value, lost
+    if isinstance(source, _MOMENT) and isinstance(to, _MOMENT):
+        return value, None
+    if isinstance(source, _TEXT) and not isinstance(to, T.BinaryType):
+        return value, lost
+    if isinstance(to, T.StringType) and not isinstance(source, (T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+        return value, None
+    raise ValueError(f"{_place(index, target)} does not take {source.simpleString()} values")
+
+
+def _place(index: int, target: T.StructField) -> str:
+    return f"field {index} (type {type_name_of(target)}, column {target.name})"
 
 
 def _converted(index: int, column: Column, source: T.DataType, target: T.StructField) -> Column:
-    """The value in the target's type; a value that does not convert stops the job and names
-    the index, type and column of the field."""
-    if _same(source, target.dataType):
-        return column
-    value = column.try_cast(target.dataType)
-    where = f"field {index} (type {type_name_of(target)}, column {target.name}) does not take the value "
-    fail = F.raise_error(F.concat(F.lit(where), column.cast("string"))).cast(target.dataType)
-    return F.when(column.isNotNull() & value.isNull(), fail).otherwise(value)
+    """As ``_convert``, but a lost value stops the job and names the field."""
+    value, lost = _convert(index, column, source, target)
+    if lost is None:
+        return value
+    reason = F.concat(F.lit(f"{_place(index, target)} does not take the value "), column.cast("string"))
+    return F.when(lost, F.raise_error(reason).cast(target.dataType)).otherwise(value)
 
 
 def bind_rows(
@@ -96,13 +125,13 @@ def split_rejects(
     """
     target = {f.name: f for f in fields}
     good, failed = [], {}
-    for name in df.columns:
-        raw = F.col(f"`{name}`")
-        if name in target:
-            value = raw.try_cast(target[name].dataType)
-            failed[name] = raw.isNotNull() & value.isNull()
-            raw = value.alias(name)
-        good.append(raw)
+    for index, source in enumerate(df.schema.fields):
+        column = F.col(f"`{source.name}`")
+        if source.name in target:
+            column, lost = _convert(index, column, source.dataType, target[source.name])
+            if lost is not None:
+                failed[source.name] = lost
+        good.append(column.alias(source.name))
     any_failed = F.lit(False)
     for condition in failed.values():
         any_failed = any_failed | condition

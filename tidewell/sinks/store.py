@@ -1,14 +1,14 @@
 """Stored tables: parquet below one folder.
 
-``log/_batch=<id>/day=/bucket=``
+``log/_batch=<id>/period=/bucket=``
     every write is one batch; its ``_SUCCESS`` file, which Spark writes last, makes it count.
     Writing an id again replaces that batch, so a replayed write changes nothing.
-``base/gen=<n>/day=/bucket=``
+``base/gen=<n>/period=/bucket=``
     what compaction made of the log: one row per key. Its ``_folded.json``, written last,
-    names the batches it holds and the days it replaces in older generations.
+    names the batches it holds and the periods it replaces in older generations.
 
-Rows with an equal key collapse when the table is read. Only days that have rows in the log
-need that; the other days are read from the base as they are, without a shuffle.
+Rows with an equal key collapse when the table is read. Only periods that have rows in the
+log need that; the others are read from the base as they are, without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fs
-from ..model import TBNAME, TableSpec, bucket_of, day_of
+from ..model import TBNAME, TableSpec, bucket_of, period_of
 from ..operators.binding import bind_rows
 from ..operators.collapse import collapse_rows
 
@@ -66,7 +66,7 @@ class TableStore:
     def _write(self, rows: DataFrame, target: str, writers: int | None = None) -> None:
         layout = self.spec.layout
         if layout:
-            # The hint lets the runtime split a large day and bucket over several tasks and
+            # The hint lets the runtime split a large period and bucket over several tasks and
             # put small ones together; the sort gives each file narrow key ranges.
             rows = rows.withColumns(layout)
             hinted = [writers, *layout] if writers else [*layout]
@@ -101,16 +101,16 @@ class TableStore:
     def _folded(self) -> set[str]:
         return {batch for _, made in self._generations() for batch in made["batches"]}
 
-    def _days_of(self, batches: Sequence[str]) -> list[str]:
-        found = (p.split("/")[-2:] for p in fs.glob(self.spark, f"{self.path}/log/_batch=*/day=*"))
+    def _periods_of(self, batches: Sequence[str]) -> list[str]:
+        found = (p.split("/")[-2:] for p in fs.glob(self.spark, f"{self.path}/log/_batch=*/period=*"))
         wanted = {f"_batch={batch}" for batch in batches}
-        return sorted({day.removeprefix("day=") for batch, day in found if batch in wanted})
+        return sorted({period.removeprefix("period=") for batch, period in found if batch in wanted})
 
     # -- read ----------------------------------------------------------------------------
 
     @property
     def _stored_schema(self) -> T.StructType:
-        layout = [T.StructField("day", T.DateType()), T.StructField("bucket", T.IntegerType())]
+        layout = [T.StructField("period", T.DateType()), T.StructField("bucket", T.IntegerType())]
         return T.StructType([*self.spec.schema.fields, *(layout if self.spec.layout else [])])
 
     def _files(self, root: str, folders: Sequence[str]) -> DataFrame | None:
@@ -121,13 +121,13 @@ class TableStore:
         return reader.parquet(*paths).select(*self._stored_schema.names)
 
     def _base_folders(self, generations: Sequence[tuple[int, dict]]) -> dict[str, str]:
-        """The base as folders: for every day the newest generation that holds it."""
+        """The base as folders: for every period the newest generation that holds it."""
         folders: dict[str, str] = {}
         for number, made in generations:
-            if made["days"] is None:
+            if made["periods"] is None:
                 folders = {"": f"gen={number}"}
             else:
-                folders.update({day: f"gen={number}/day={day}" for day in made["days"]})
+                folders.update({p: f"gen={number}/period={p}" for p in made["periods"]})
         return folders
 
     def read(
@@ -139,12 +139,12 @@ class TableStore:
         """The table's rows, one per key, as of now.
 
         ``start`` (inclusive), ``end`` (exclusive) and ``tables`` restrict the key; the derived
-        conditions on ``day`` and ``bucket`` leave out whole folders. Conditions on other columns
+        conditions on ``period`` and ``bucket`` leave out whole folders. Conditions on other columns
         belong on the result: they must not see rows that a later one has replaced.
         """
         base, log, touched = self._current()
-        rows = self._files("base", [f for day, f in base.items() if day not in touched])
-        rewritten = self._files("base", [f for day, f in base.items() if day in touched])
+        rows = self._files("base", [f for period, f in base.items() if period not in touched])
+        rewritten = self._files("base", [f for period, f in base.items() if period in touched])
         fresh = self._files("log", [f"_batch={b}" for b in log])
         collapsed = self._collapsed(self._restricted(_union(rewritten, fresh), start, end, tables))
         rows = _union(self._restricted(rows, start, end, tables), collapsed)
@@ -153,12 +153,12 @@ class TableStore:
         return rows.select(*self.spec.schema.names)
 
     def _current(self) -> tuple[dict[str, str], list[str], set[str]]:
-        """Base folders by day, log batches not yet folded, and the days those batches touch."""
+        """Base folders by period, log batches not yet folded, and the periods those touch."""
         generations = self._generations()
         folded = {batch for _, made in generations for batch in made["batches"]}
         fresh = [b for b in self.batches() if b not in folded]
         if self.spec.layout:
-            touched = set(self._days_of(fresh))
+            touched = set(self._periods_of(fresh))
         else:
             touched = {""} if fresh and self.spec.key else set()
         return self._base_folders(generations), fresh, touched
@@ -170,11 +170,11 @@ class TableStore:
         if start is not None:
             rows = rows.where(time >= _instant(start))
             if self.spec.layout:
-                rows = rows.where(F.col("day") >= day_of(_instant(start)))
+                rows = rows.where(F.col("period") >= period_of(_instant(start), self.spec.period))
         if end is not None:
             rows = rows.where(time < _instant(end))
             if self.spec.layout:
-                rows = rows.where(F.col("day") <= day_of(_instant(end)))
+                rows = rows.where(F.col("period") <= period_of(_instant(end), self.spec.period))
         if tables is not None:
             names = list(dict.fromkeys(tables))
             rows = rows.where(F.col(TBNAME).isin(names))
@@ -185,31 +185,38 @@ class TableStore:
     def _collapsed(self, rows: DataFrame | None) -> DataFrame | None:
         if rows is None or not self.spec.key:
             return rows
-        # day and bucket are functions of the key: as part of it they change nothing, and
+        # period and bucket are functions of the key: as part of it they change nothing, and
         # conditions on them still reach the scan.
         return collapse_rows(rows, [*self.spec.key, *self.spec.layout], self.spec.order_by)
 
     def tags(self) -> DataFrame:
-        """One row per sub-table: its name and its tags, as of its latest row."""
-        order = F.struct(F.col(self.spec.time), *[F.col(t) for t in self.spec.tags])
-        rows = self.read().groupBy(TBNAME).agg(F.max(order).alias("_latest"))
-        return rows.select(TBNAME, *[F.col(f"_latest.{t}").alias(t) for t in self.spec.tags])
+        """One row per sub-table: its name and its tags, as of its latest row.
+
+        Copies of a row do no harm here, so nothing is collapsed: tasks send one row per
+        sub-table.
+        """
+        base, log, _ = self._current()
+        rows = _union(self._files("base", list(base.values())), self._files("log", [f"_batch={b}" for b in log]))
+        if rows is None:
+            rows = self.spark.createDataFrame([], self._stored_schema)
+        latest = F.max(F.struct(self.spec.time, *self.spec.order_by, *self.spec.tags)).alias("_latest")
+        return rows.groupBy(TBNAME).agg(latest).select(TBNAME, *[f"_latest.{t}" for t in self.spec.tags])
 
     # -- maintenance ---------------------------------------------------------------------
 
     def compact(self) -> None:
-        """Fold the log into the base. Only days with rows in the log are written anew."""
+        """Fold the log into the base. Only periods with rows in the log are written anew."""
         base, fresh, touched = self._current()
         if not fresh:
             return
-        days = sorted(touched) if self.spec.layout else None
-        replaced = self._files("base", [f for day, f in base.items() if days is None or day in touched])
+        periods = sorted(touched) if self.spec.layout else None
+        replaced = self._files("base", [f for period, f in base.items() if periods is None or period in touched])
         log = self._files("log", [f"_batch={b}" for b in fresh])
         rows = self._collapsed(_union(replaced, log)).select(*self.spec.schema.names)
         generations = self._generations()
         target = f"{self.path}/base/gen={generations[-1][0] + 1 if generations else 0}"
         self._write(rows, target)
-        fs.write_json(self.spark, f"{target}/_folded.json", {"batches": fresh, "days": days})
+        fs.write_json(self.spark, f"{target}/_folded.json", {"batches": fresh, "periods": periods})
 
     def vacuum(self) -> None:
         """Delete batches that the base holds. Streams must have read them, and no query may

@@ -53,12 +53,20 @@ class Topic:
     def group(self, name: str) -> ConsumerGroup:
         return ConsumerGroup(f"{self.path}/groups/{name}")
 
-    def read(self, group: ConsumerGroup, reset: str = "latest", files_per_batch: int | None = None) -> DataFrame:
+    def read(
+        self,
+        group: ConsumerGroup,
+        reset: str = "latest",
+        files_per_batch: int | None = None,
+        bytes_per_batch: str | None = None,
+    ) -> DataFrame:
         """The topic as a streaming frame.
 
         ``reset`` matters only the first time a group starts: ``earliest`` reads all history,
         ``latest`` only batches written after that moment. The choice is stored, and later
-        starts go on from the group's checkpoint.
+        starts go on from the group's checkpoint. ``files_per_batch`` or ``bytes_per_batch``
+        (such as ``"500g"``) bounds a micro-batch, so that a long history comes in steps that
+        are recorded one by one.
         """
         stored = fs.read_json(self.spark, f"{self.path}/topic.json")
         table = TableStore.open(self.spark, stored["table"])
@@ -66,10 +74,12 @@ class Topic:
 
         layout = [T.StructField("_batch", T.StringType())]
         if table.spec.layout:
-            layout += [T.StructField("day", T.DateType()), T.StructField("bucket", T.IntegerType())]
+            layout += [T.StructField("period", T.DateType()), T.StructField("bucket", T.IntegerType())]
         reader = self.spark.readStream.schema(T.StructType([*table.spec.schema.fields, *layout]))
         if files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        if bytes_per_batch is not None:
+            reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
         rows = reader.parquet(f"{table.path}/log")
         if skipped:
             rows = rows.where(~F.col("_batch").isin(skipped))
