@@ -70,7 +70,11 @@ def test_a_number_out_of_range_is_an_error(spark):
         ("1.0D", "INT", True), ("1.5D", "INT", False), ("cast(3e9 as double)", "INT", False), ("1", "BOOL", True),
         ("5", "BOOL", False), ("true", "INT", True), ("cast(50.3 as decimal(4,1))", "FLOAT", True),
         ("0.1D", "FLOAT", True), ("'7'", "SMALLINT", True), ("'7.5'", "SMALLINT", False), ("7", "VARCHAR", True),
-        ("128", "TINYINT", False), ("cast(null as string)", "INT", True), ("cast(null as double)", "INT", True), ("null", "GEOMETRY", True),
+        ("128", "TINYINT", False), ("127", "TINYINT", True), ("-128L", "TINYINT", True), ("-129L", "TINYINT", False),
+        ("cast('NaN' as double)", "BIGINT", False), ("cast('Infinity' as double)", "BIGINT", False),
+        ("9.223372036854775807E18D", "BIGINT", False), ("-9.223372036854775808E18D", "BIGINT", True),
+        ("cast(7 as decimal(38,0))", "BIGINT", True), ("cast(7.5 as decimal(10,1))", "BIGINT", False),
+        ("99999999999999999999", "BIGINT", False), ("cast(null as boolean)", "INT", True), ("cast(null as string)", "INT", True), ("cast(null as double)", "INT", True), ("null", "GEOMETRY", True),
         ("timestamp_ntz'2024-01-01'", "TIMESTAMP", True), ("'2024-01-01 00:00:00'", "TIMESTAMP", True),
         ("'soon'", "TIMESTAMP", False),
     ],

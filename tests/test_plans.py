@@ -74,18 +74,18 @@ def test_a_compacted_table_is_read_without_a_shuffle(table):
     assert "Exchange" not in text and "Aggregate" not in text
 
 
-def test_numbered_rows_are_shuffled_once(spark):
+@pytest.mark.parametrize("piece_rows", [5, 1_000_000])
+def test_numbered_rows_are_shuffled_once(spark, piece_rows):
     rows = registry._meters(spark, SF).select("event_id", "ts", "tbname")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        text = plan(number_rows(rows, ["tbname"], ["ts", "event_id"]))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # between the numbering window and the join that brings the starts there is no exchange
-    above, below = text.split("SortMergeJoin [_piece", 1)
-    assert "Window [row_number()" in above and "Exchange" not in above
+    text = plan(number_rows(rows, ["tbname"], ["ts", "event_id"], piece_rows=piece_rows))
+    # from the numbering down to the scan of the rows
+    path = text[: text.index("FileScan")]
+    assert "Window [row_number()" in path and path.count("Exchange hashpartitioning") == 1
+
+
+def test_costly_columns_are_computed_once_for_rejects(spark):
+    for key in ("coerce_rows", "coerce_rejects"):
+        assert plan(registry.queries()[key](spark, SF)).count("get_json_object") == 1
 
 
 def test_streams_stay_out_of_python(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -34,6 +35,7 @@ def check_arity(df: DataFrame, fields: Sequence[T.StructField]) -> None:
 
 
 _TEXT = (T.StringType, T.VarcharType, T.CharType)
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _MOMENT = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
@@ -49,22 +51,41 @@ def _convert(index: int, column: Column, source: T.DataType, target: T.StructFie
         return column, None
     if isinstance(source, T.NullType):
         return F.lit(None).cast(to), None
-    value = column.try_cast(to)
-    lost = column.isNotNull() & value.isNull()
     numbers = (T.NumericType, T.BooleanType)
     if isinstance(source, numbers) and isinstance(to, numbers):
-        if isinstance(to, (T.IntegralType, T.BooleanType)):
-            lost = ~value.try_cast(source).eqNullSafe(column)
-        return value, lost
+        lost = _lost_number(column, source, to)
+        value = column.cast(to)
+        return (value, None) if lost is None else (F.when(~lost, value), lost)
     if isinstance(source, _MOMENT) and isinstance(to, _MOMENT):
-        return value, None
+        return column.cast(to), None
     if isinstance(source, _TEXT) and not isinstance(to, T.BinaryType):
-        return value, lost
+        value = column.try_cast(to)
+        return value, column.isNotNull() & value.isNull()
     if isinstance(to, T.StringType) and not isinstance(source, (T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
-        return value, None
+        return column.cast(to), None
     raise ValueError(f"{_place(index, target)} does not take {source.simpleString()} values")
 
 
+def _lost_number(column: Column, source: T.DataType, to: T.DataType) -> Column | None:
+    """Whether a number has no equal in the target's type; never NULL.
+
+    Told by comparison: a cast that overflows costs an exception per row, even a tried one.
+    """
+    if isinstance(source, T.BooleanType) or isinstance(to, T.FractionalType):
+        return None
+    if isinstance(to, T.BooleanType):
+        return ~F.coalesce(column.isin(0, 1), F.lit(True))
+    if isinstance(source, T.IntegralType):
+        if _BITS[type(source)] <= _BITS[type(to)]:
+            return None
+        most = 2 ** (_BITS[type(to)] - 1)
+        fits = column.between(-most, most - 1)
+    else:
+        most = Decimal(2 ** (_BITS[type(to)] - 1))
+        fits = (column >= F.lit(-most)) & (column < F.lit(most)) & (column % 1 == 0)
+    return ~F.coalesce(fits, F.lit(True))
+
+
 def _place(index: int, target: T.StructField) -> str:
     return f"field {index} (type {type_name_of(target)}, column {target.name})"
 
@@ -124,6 +145,13 @@ def split_rejects(
     Both are lazy and read the input on their own; persist it first if it is costly.
     """
     target = {f.name: f for f in fields}
+    listed = [c for c in df.columns if c in target]
+    if listed:
+        # Passing the listed columns through a generator keeps the optimizer from copying the
+        # expressions they come from into each of the conditions below.
+        others = [F.col(f"`{c}`") for c in df.columns if c not in target]
+        once = F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in listed])))
+        df = df.select(*others, once).select(*[F.col(f"`{c}`") for c in df.columns])
     good, failed = [], {}
     for index, source in enumerate(df.schema.fields):
         column = F.col(f"`{source.name}`")

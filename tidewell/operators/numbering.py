@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+# Up to here the list of large groups is sent to every task; beyond it both sides are shuffled.
+KNOWN_GROUPS = 100_000
+# Into how many parts a large group falls in such a shuffle.
 SALTS = 16
 
 
@@ -41,61 +44,94 @@ def number_rows(
     order_by: Sequence[str],
     out: str = "row_number",
     up_to: int | None = None,
-    piece_rows: int = 4_000_000,
+    piece_rows: int = 1_000_000,
 ) -> DataFrame:
     """``row_number`` per group in the given order, without sorting a large group in one task.
 
-    A group of more than ``piece_rows`` rows is cut into consecutive pieces of equal width
-    along the first order column (a time or a number); any other group is one piece. The
-    pieces are counted (partial aggregation over the key columns only), the counts are summed
-    up along the group, and each row is then numbered within its piece. A group costs one task
-    only its list of pieces. Rows with an equal first order value stay together; for a time
-    column of a super table these are copies of one row key.
+    Groups of more than ``piece_rows`` rows are found first, by one job over the key columns.
+    Each is cut into consecutive pieces of equal width along the first order column (a time or
+    a number); any other group is one piece. The pieces of large groups are counted, the counts
+    are summed up along the group, and each row is then numbered within its piece. A large group
+    costs one task only its list of pieces. Rows with an equal first order value stay together;
+    for a time column of a super table these are copies of one row key.
 
-    The list of large groups has at most one entry per ``piece_rows`` rows of input. Join
-    strategies are the optimizer's, which broadcasts only below its size threshold; beyond it
-    the salt spreads the large groups. The rows themselves are shuffled for the numbering only.
-
-    ``up_to`` keeps the numbers up to that one and drops whole pieces beyond it early.
+    The rows are shuffled and sorted once. ``up_to`` keeps the numbers up to that one and drops
+    whole pieces beyond it early.
     """
     first = _bare(order_by[0])
-    at = _scale(df, first)
-    # Struct keys match NULLs with NULLs.
-    rows = df.withColumn("_group", F.struct(*group))
+    # A group is matched by its columns as texts and by which of them are NULL, so that NULLs
+    # match and the join and the window below share one partitioning.
+    columns = [F.col(g).cast("string") for g in group]
+    keys = {f"_group{i}": F.coalesce(c, F.lit("")) for i, c in enumerate(columns)}
+    if any(df.schema[g].nullable for g in group):
+        keys["_nulls"] = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    rows = df.withColumns(keys)
+
+    large, known = _large_groups(rows, list(keys), _scale(df, first), piece_rows)
+    if large is None:
+        numbered = rows.withColumn(out, _number(list(keys), order_by))
+    else:
+        pieces = _cut(rows, list(keys), large, known, _scale(df, first), order_by)
+        numbered = _number_pieces(pieces, [*keys, "_piece"], order_by, out, up_to)
+    if up_to is not None:
+        numbered = numbered.where(F.col(out) <= up_to)
+    return numbered.select(*df.columns, out)
+
+
+def _number(keys: Sequence[str], order_by: Sequence[str]) -> Column:
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*sort_columns(order_by))).cast("long")
+
+
+def _large_groups(
+    rows: DataFrame, keys: Sequence[str], at: Column, piece_rows: int
+) -> tuple[DataFrame | None, bool]:
+    """The large groups with their lowest order value and the width of a piece (None if there are
+    none), and whether there are few enough to be sent to every task."""
     large = (
-        rows.groupBy("_group")
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_low"), F.max(at).alias("_high"))
         .where(F.col("_rows") > piece_rows)
         # four times as many pieces as needed, since rows are not spread evenly
         .withColumn("_width", (F.col("_high") - F.col("_low") + 1) * piece_rows / F.col("_rows") / 4)
-        .select("_group", "_low", F.greatest(F.col("_width"), F.lit(1.0)).alias("_width"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    salt = F.pmod(F.xxhash64(*[F.col(_bare(i)) for i in order_by]), F.lit(SALTS)).cast("int")
-    number = (
-        F.when(F.col("_width").isNull(), F.lit(0))
-        .when(at.isNull(), F.lit(-1))
-        .otherwise(F.floor((at - F.col("_low")) / F.col("_width")))
-    )
-    pieces = (
-        rows.withColumn("_salt", salt)
-        .join(large, ["_group", "_salt"], "left")
-        .withColumn("_piece", F.struct("_group", number.cast("long").alias("_number")))
-        .drop("_salt", "_low", "_width", "_group")
+        .select(*keys, "_low", F.greatest(F.col("_width"), F.lit(1.0)).alias("_width"))
     )
+    few = large.limit(KNOWN_GROUPS + 1).collect()
+    if not few:
+        return None, True
+    if len(few) <= KNOWN_GROUPS:
+        return rows.sparkSession.createDataFrame(few, large.schema), True
+    return large, False
+
 
-    along = F.col("_piece._number").desc() if _is_descending(order_by[0]) else F.col("_piece._number").asc()
-    earlier = Window.partitionBy("_piece._group").orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+def _cut(
+    rows: DataFrame, keys: list[str], large: DataFrame, known: bool, at: Column, order_by: Sequence[str]
+) -> DataFrame:
+    """The rows with the number of their piece; NULL for a group that is not cut."""
+    if known:
+        joined = rows.join(F.broadcast(large), keys, "left")
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(_bare(i)) for i in order_by]), F.lit(SALTS)).cast("int")
+        copies = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left").drop("_salt")
+    # NULL order values come before all others upwards, and after them downwards.
+    piece = F.coalesce(F.floor((at - F.col("_low")) / F.col("_width")).cast("long"), F.lit(-1))
+    return joined.withColumn("_piece", F.when(F.col("_width").isNotNull(), piece)).drop("_low", "_width")
+
+
+def _number_pieces(
+    pieces: DataFrame, keys: list[str], order_by: Sequence[str], out: str, up_to: int | None
+) -> DataFrame:
+    along = F.col("_piece").desc() if _is_descending(order_by[0]) else F.col("_piece").asc()
+    earlier = Window.partitionBy(*keys[:-1]).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        pieces.groupBy("_piece")
+        pieces.where(F.col("_piece").isNotNull())
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(*keys, F.sum("_rows").over(earlier).alias("_earlier"))
+        .where(F.col("_earlier") > 0)
     )
+    before = F.coalesce(F.col("_earlier"), F.lit(0))
+    placed = pieces.join(starts, keys, "left")
     if up_to is not None:
-        starts = starts.where(F.col("_before") < up_to)
-
-    inside = Window.partitionBy("_piece").orderBy(*sort_columns(order_by))
-    numbered = pieces.join(starts, "_piece").withColumn(out, F.col("_before") + F.row_number().over(inside))
-    if up_to is not None:
-        numbered = numbered.where(F.col(out) <= up_to)
-    return numbered.select(*df.columns, out)
+        placed = placed.where(before < up_to)
+    return placed.withColumn(out, before + _number(keys, order_by))

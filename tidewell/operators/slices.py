@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..model import TBNAME
 from ..plans.time_range import TimeRange
-from .numbering import SALTS, number_rows, sort_columns
+from .numbering import number_rows, sort_columns
 
 # Up to here a list of names is a plain IN condition, which the file scan can use.
 IN_LIST_NAMES = 1_000
@@ -21,6 +21,8 @@ IN_LIST_NAMES = 1_000
 BROADCAST_LIST_BYTES = 8 << 20
 # Up to here Spark itself cuts every group before the shuffle.
 GROUP_LIMIT_ROWS = 1_000
+# Into how many parts a large sub-table falls in a shuffled join.
+SALTS = 16
 
 
 def slice_by_time(df: DataFrame, time_range: TimeRange, out: str = "slice") -> DataFrame:
