@@ -150,6 +150,14 @@ ORACLES: dict[str, str] = {
         WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-20 18:30:00'
         """
     ),
+    "lake_time_slices": _m(
+        """
+        SELECT CAST((epoch_us(ts) - 1704384000000000) // 86400000000 AS BIGINT) AS slice,
+               COUNT(*) AS row_count, CAST(SUM(voltage) AS BIGINT) AS sum_voltage
+        FROM K
+        WHERE ts >= TIMESTAMP '2024-01-04 16:00:00' AND ts < TIMESTAMP '2024-01-20 04:30:00' GROUP BY 1
+        """
+    ),
     "sink_normal": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "sink_bind": _RAW,
     "insert_select": _STORED,

@@ -1,11 +1,12 @@
 """What the physical plans of the queries look like."""
 
 import re
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
 import __spark_entry__ as registry
+from tidewell import ScanRequest, TimeRange
 from tidewell.operators import number_rows, slice_by_tags, top_per_table
 
 from . import meters
@@ -63,6 +64,18 @@ def test_restricted_reads_leave_out_folders(table):
     assert "EqualTo(tbname,d1001)" in text or "In(tbname" in text
 
 
+def test_sliced_scans_of_stored_tables_leave_out_folders(lake, table):
+    hours = TimeRange.of_millis(1734631200000, 1734638400000, "ts", timedelta(hours=1))
+    by_time = lake.scan("power", ScanRequest(table="meters", time=hours))
+    by_table = lake.scan("power", ScanRequest(table="meters", tables=("d1001",)))
+    for df, name in ((by_time, "period"), (by_table, "bucket")):
+        assert name in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(df)).group(1)
+    assert by_time.count() == 12 and by_table.count() == 9
+    # a limit comes before the range, which then must not narrow what is read
+    first = lake.scan("power", ScanRequest(table="meters", order_by=("ts",), limit=7, time=hours))
+    assert first.count() == 1
+
+
 def test_key_conditions_above_a_table_reach_the_scan(table):
     text = plan(table.read().where("tbname = 'd1001' and ts >= '2024-12-19 18:00:00'"))
     assert "EqualTo(tbname,d1001)" in text and "GreaterThanOrEqual(ts,2024-12-19 18:00:00.0)" in text

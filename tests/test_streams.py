@@ -1,7 +1,7 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from tidewell import consumer_group, open_sink, open_table
+from tidewell import open_sink, open_table
 from tidewell.operators import pack_rows
 from tidewell.streaming import run_into_table, stream_into_table
 
@@ -143,5 +143,53 @@ def test_a_stream_table_by_options(lake, topic, target, spark):
         {"td.jdbc.url": lake.root, "sink.db.name": "power_sink", "sink.supertable.name": "sink_meters"},
         meters.NAMES,
     )
-    sink.insert_stream(hot, consumer_group(spark, options).checkpoint).awaitTermination()
+    sink.insert_stream(hot, options).awaitTermination()
     assert meters.total(sink.store.read()) == 1221 * 3
+
+
+def stream_options(lake, **more):
+    return {
+        "td.jdbc.mode": "cdc", "url": lake.root, "topic": "topic_meters", "group.id": "g",
+        "auto.offset.reset": "earliest", **more,
+    }
+
+
+def sink_options(lake, **more):
+    return {"td.jdbc.url": lake.root, "sink.db.name": "power_sink", "sink.supertable.name": "sink_meters", **more}
+
+
+def test_a_batched_stream_table_into_a_batched_sink(lake, topic, target, spark):
+    options = stream_options(lake, **{"td.batch.mode": "true", "batch.size": "5"})
+    stream = open_table(spark, options)
+    assert stream.columns == ["rows"]
+    sink = open_sink(spark, sink_options(lake, **{"td.batch.mode": "true"}), meters.NAMES)
+    sink.insert_stream(stream, options).awaitTermination()
+    assert meters.total(target.read()) == 1221 * 3
+
+
+def test_user_records_through_a_stream(lake, topic, target, spark):
+    options = stream_options(lake)
+    record = "device string, place string, grp int, at timestamp, volts int, amps float, angle float"
+    names = ["tbname", "location", "groupid", "ts", "voltage", "current", "phase"]
+    pairs = dict(zip(names, T.StructType.fromDDL(record).names))
+    stream = open_table(
+        spark, options, T.StructType.fromDDL(record), convert=lambda batch: batch.rename(columns=pairs)
+    )
+    back = {v: k for k, v in pairs.items()}
+    sink = open_sink(spark, sink_options(lake), names, convert=lambda batch: batch.rename(columns=back))
+    sink.insert_stream(stream, options).awaitTermination()
+    assert sorted(target.read().collect()) == sorted(
+        lake.table("power", "meters").read().collect()
+    )
+
+
+def test_the_poll_interval_of_the_source_paces_the_stream(lake, topic, target, spark):
+    options = stream_options(lake, **{"poll.interval_ms": "100"})
+    sink = open_sink(spark, sink_options(lake))
+    query = sink.insert_stream(open_table(spark, options), options, until_stopped=True)
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        assert meters.total(target.read()) == 1221 * 3
+    finally:
+        query.stop()

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import fs
 from .model import TableSpec
+from .plans.request import ScanRequest
 from .sinks.store import TableStore
+from .sources.scan import scan
 from .streaming.topics import Topic
 
 
@@ -42,5 +44,22 @@ class Lake:
     def topic(self, topic: str) -> Topic:
         return Topic.open(self.spark, self._topic_path(topic))
 
-    def view(self, database: str, table: str) -> DataFrame:
-        return self.table(database, table).read()
+    def named_in(self, database: str, text: str) -> dict[str, DataFrame]:
+        """The rows of the tables whose names occur in a text."""
+        return {name: store.read() for name, store in self.tables(database).items() if name in text}
+
+    def scan(self, database: str, request: ScanRequest) -> DataFrame:
+        """``scan`` over stored tables.
+
+        A request by table name leaves out the folders its time range or sub-table list rules
+        out. (A limit in the request applies before the time range, so then it cannot.) A
+        request by text is pruned by the conditions in the text.
+        """
+        if request.sql:
+            return scan(self.spark, request, self.named_in(database, request.sql))
+        store = self.table(database, request.table)
+        start = end = None
+        time = request.time
+        if time is not None and not time.empty and time.column == store.spec.time and request.limit is None:
+            start, end = time.start, time.end
+        return scan(self.spark, request, {request.table: store.read(start, end, request.tables)})

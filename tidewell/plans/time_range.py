@@ -59,6 +59,14 @@ class TimeRange:
     def empty(self) -> bool:
         return not self.column or self.end_ms <= self.start_ms
 
+    @property
+    def start(self) -> datetime:
+        return _EPOCH + timedelta(milliseconds=self.start_ms)
+
+    @property
+    def end(self) -> datetime:
+        return _EPOCH + timedelta(milliseconds=self.end_ms)
+
     @property
     def step_ms(self) -> int:
         """Width of a full window."""

@@ -8,19 +8,26 @@ from ..plans.time_range import TimeRange
 from .store import TableStore
 
 
-def copy_slices(source: DataFrame, time_range: TimeRange, target: TableStore, job: str) -> list[tuple[int, int]]:
+def copy_slices(
+    source: DataFrame | TableStore, time_range: TimeRange, target: TableStore, job: str
+) -> list[tuple[int, int]]:
     """Copy the range window by window, each as one batch of the target.
 
     A window whose batch is committed is not read again; one that broke off is read again as a
     whole and replaces what it left. Returns the windows this call copied. A window is one
-    Spark job, so choose the interval such that a window keeps the cluster busy.
+    Spark job, so choose the interval such that a window keeps the cluster busy. From a stored
+    table a window reads only the folders of its time.
     """
-    data_type = source.schema[time_range.column].dataType
     copied = []
     for start, end in time_range.windows():
         batch = f"{job}-{start}-{end}"
         if target.committed(batch):
             continue
-        target.append(source.where(time_range.window(start, end).contains(data_type)), batch=batch)
+        target.append(_rows_of(source, time_range.window(start, end)), batch=batch)
         copied.append((start, end))
     return copied
+
+
+def _rows_of(source: DataFrame | TableStore, window: TimeRange) -> DataFrame:
+    rows = source.read(window.start, window.end) if isinstance(source, TableStore) else source
+    return rows.where(window.contains(rows.schema[window.column].dataType))

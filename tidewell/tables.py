@@ -7,16 +7,20 @@ last part of the address.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .functions.decode import decode_rows
+from .functions.names import trim_backticks
 from .lake import Lake
-from .operators.batches import pack_rows
+from .operators.batches import pack_rows, unpack_rows
+from .operators.binding import resolve_fields
+from .operators.records import map_records
 from .plans.options import TableOptions
 from .sinks.jdbc import write_jdbc
 from .sinks.store import TableStore
@@ -26,6 +30,12 @@ from .streaming.pipeline import stream_into_table
 from .streaming.topics import ConsumerGroup
 
 
+# User code over rows, a batch of rows at a time.
+Convert = Callable[[pd.DataFrame], pd.DataFrame]
+# The column of a table whose elements are batches of rows.
+ELEMENT = "rows"
+
+
 def _is_jdbc(url: str) -> bool:
     return url.startswith("jdbc:")
 
@@ -41,21 +51,29 @@ def _lake_and_database(spark: SparkSession, url: str, database: str | None) -> t
 
 
 def open_table(
-    spark: SparkSession, options: Mapping[str, str], schema: T.StructType | None = None, view: str | None = None
+    spark: SparkSession,
+    options: Mapping[str, str],
+    schema: T.StructType | None = None,
+    view: str | None = None,
+    convert: Convert | None = None,
 ) -> DataFrame:
     """The rows of a declared table: a batch frame in mode ``source``, a stream in mode ``cdc``.
 
-    ``schema`` is the declared table; columns are matched by name and decoded to its types.
-    With ``td.batch.mode`` an element is an array of up to ``batch.size`` rows. ``view`` names
-    a view for ``spark.sql``.
+    ``schema`` is the declared table; columns are matched by name and decoded to its types, or
+    made by the user's ``convert``, if one is given. With ``td.batch.mode`` an element is an
+    array of up to ``batch.size`` rows. ``view`` names a view for ``spark.sql``.
     """
     opts = TableOptions(options)
     opts.check_read()
     rows = _open_source(spark, opts) if opts.read_mode == "source" else _open_topic(spark, opts)
-    if schema is not None:
+    if convert is not None:
+        if schema is None:
+            raise ValueError("converted rows need a declared schema")
+        rows = map_records(rows, convert, schema)
+    elif schema is not None:
         rows = decode_rows(rows, schema, opts.get("value.deserializer.encoding"))
     if opts.flag("td.batch.mode"):
-        rows = pack_rows(rows, opts.number("batch.size"))
+        rows = pack_rows(rows, opts.number("batch.size"), ELEMENT)
     if view is not None:
         rows.createOrReplaceTempView(view)
     return rows
@@ -66,8 +84,7 @@ def _open_source(spark: SparkSession, opts: TableOptions) -> DataFrame:
     if _is_jdbc(url):
         return read_jdbc(spark, url, query, options=opts.connection)
     lake, database = _lake_and_database(spark, url, opts.get("dbname"))
-    used = {name: store.read() for name, store in lake.tables(database).items() if name in query}
-    return run_sql(spark, query, used)
+    return run_sql(spark, query, lake.named_in(database, query))
 
 
 def _topic_group(spark: SparkSession, opts: TableOptions):
@@ -90,15 +107,15 @@ def consumer_group(spark: SparkSession, options: Mapping[str, str]) -> ConsumerG
 
 @dataclass(frozen=True)
 class TableSink:
-    """A declared target. The mode option does not matter to a target."""
+    """A declared target. The mode option does not matter to a target.
+
+    With ``td.batch.mode`` the rows come as elements of a batched table and are unpacked.
+    """
 
     spark: SparkSession
     options: TableOptions
     fields: tuple[str, ...] | None = None
-
-    @property
-    def _writers(self) -> int | None:
-        return self.options.number("sink.parallelism")
+    convert: Convert | None = None
 
     @property
     def store(self) -> TableStore:
@@ -106,38 +123,62 @@ class TableSink:
         root = url.split("?")[0].rstrip("/").removesuffix(f"/{database}")
         return Lake(self.spark, root).table(database, self.options.sink_table)
 
+    def _prepared(self, rows: DataFrame) -> DataFrame:
+        if self.options.flag("td.batch.mode"):
+            rows = unpack_rows(rows, ELEMENT)
+        if self.convert is not None:
+            bound = resolve_fields(self.store.spec, self.fields)
+            rows = map_records(rows, self.convert, T.StructType(bound))
+        return rows
+
     def insert(self, rows: DataFrame, by: str = "position") -> None:
         """``INSERT INTO``: the columns of ``rows`` meet the bound columns by position or by name."""
-        url = self.options.get("td.jdbc.url")
-        if _is_jdbc(url):
-            if self.fields is not None:
-                if by == "position":
-                    if len(rows.columns) != len(self.fields):
-                        raise ValueError(
-                            f"rows have {len(rows.columns)} fields, but {len(self.fields)} columns are bound"
-                        )
-                    rows = rows.toDF(*self.fields)
-                rows = rows.select(*self.fields)
-            table = f"{self.options.get('sink.db.name')}.{self.options.sink_table}"
-            write_jdbc(
-                rows, url, table, self.options.number("sink.batch.size"), self._writers, self.options.connection
-            )
-        else:
-            self.store.append(rows, fields=self.fields, by=by, writers=self._writers)
+        url, writers = self.options.get("td.jdbc.url"), self.options.number("sink.parallelism")
+        rows = self._prepared(rows)
+        if not _is_jdbc(url):
+            self.store.append(rows, fields=self.fields, by=by, writers=writers)
+            return
+        names = [trim_backticks(f) for f in self.fields or rows.columns]
+        if by == "position":
+            if len(rows.columns) != len(names):
+                raise ValueError(f"rows have {len(rows.columns)} fields, but {len(names)} columns are bound")
+            rows = rows.toDF(*names)
+        table = f"{self.options.get('sink.db.name')}.{self.options.sink_table}"
+        batch_rows = self.options.number("sink.batch.size")
+        write_jdbc(rows.select(*names), url, table, batch_rows, writers, self.options.connection)
 
     def insert_stream(
-        self, rows: DataFrame, checkpoint: str, poll_ms: int | None = None, output_mode: str = "append"
+        self,
+        rows: DataFrame,
+        source: Mapping[str, str],
+        until_stopped: bool = False,
+        output_mode: str = "append",
     ) -> StreamingQuery:
-        """Start a stream into the table; columns are matched by name."""
+        """Start a stream into the table; columns are matched by name.
+
+        ``source`` are the options of the stream table the rows come from: its group keeps the
+        progress, and its poll interval is the pace of a stream that runs until it is stopped.
+        Otherwise the stream ends when it has read what is there.
+        """
+        poll_ms = TableOptions(source).number("poll.interval_ms") if until_stopped else None
         return stream_into_table(
-            rows, self.store, checkpoint, self.fields, poll_ms=poll_ms, output_mode=output_mode
+            self._prepared(rows),
+            self.store,
+            consumer_group(self.spark, source).checkpoint,
+            self.fields,
+            poll_ms=poll_ms,
+            output_mode=output_mode,
         )
 
 
 def open_sink(
-    spark: SparkSession, options: Mapping[str, str], fields: Sequence[str] | None = None
+    spark: SparkSession,
+    options: Mapping[str, str],
+    fields: Sequence[str] | None = None,
+    convert: Convert | None = None,
 ) -> TableSink:
-    """A target table, its options checked. ``fields`` lists the bound columns, in order."""
+    """A target table, its options checked. ``fields`` lists the bound columns, in order;
+    ``convert`` makes them from the user's own records."""
     opts = TableOptions(options)
     opts.check_sink()
-    return TableSink(spark, opts, tuple(fields) if fields is not None else None)
+    return TableSink(spark, opts, tuple(fields) if fields is not None else None, convert)
