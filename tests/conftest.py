@@ -10,7 +10,8 @@ from tidewell import Lake, build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session()
+    # many small jobs: the quick compiler and few tasks save most of the time
+    session = build_session(shuffle_partitions=4, **{"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     session.sparkContext.setLogLevel("OFF")
     return session
 

@@ -78,15 +78,16 @@ def test_the_large_group_is_spread_when_numbered(spark, rows):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-def test_a_list_that_is_data(spark, rows, broadcast):
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_a_list_that_is_data(spark, rows, monkeypatch, bound):
+    monkeypatch.setattr(slices, "LISTED_NAMES", bound)
     listed = spark.createDataFrame([("hot",), ("d1",), ("hot",), ("none",), (None,)], "tbname string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB" if bound else "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         read = read_tables(rows, listed)
         counts = {r[0]: r[1] for r in read.groupBy("tbname").count().collect()}
-        if broadcast == "-1":
+        if not bound:
             assert largest_part(read) < read.count() / 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -96,10 +97,10 @@ def test_a_list_that_is_data(spark, rows, broadcast):
     assert read.columns == rows.columns
 
 
-@pytest.mark.parametrize("in_list, sent_bytes", [(1_000, 8 << 20), (0, 8 << 20), (0, 0)])
-def test_lists_of_any_length_read_the_same(spark, rows, monkeypatch, in_list, sent_bytes):
+@pytest.mark.parametrize("in_list, listed", [(1_000, 100_000), (0, 100_000), (0, 0)])
+def test_lists_of_any_length_read_the_same(spark, rows, monkeypatch, in_list, listed):
     monkeypatch.setattr(slices, "IN_LIST_NAMES", in_list)
-    monkeypatch.setattr(slices, "BROADCAST_LIST_BYTES", sent_bytes)
+    monkeypatch.setattr(slices, "LISTED_NAMES", listed)
     names = ["hot", "d1", "d2", "d1"]
     plain = {r[0]: r[1] for r in rows.groupBy("tbname").count().collect()}
     counts = {r[0]: r[1] for r in read_tables(rows, names).groupBy("tbname").count().collect()}

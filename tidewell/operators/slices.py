@@ -17,12 +17,12 @@ from .numbering import number_rows, sort_columns
 
 # Up to here a list of names is a plain IN condition, which the file scan can use.
 IN_LIST_NAMES = 1_000
-# Up to here a longer list is sent to every task; beyond it both sides are shuffled.
-BROADCAST_LIST_BYTES = 8 << 20
+# Up to here a list is sent to every task; beyond it both sides are shuffled.
+LISTED_NAMES = 100_000
 # Up to here Spark itself cuts every group before the shuffle.
 GROUP_LIMIT_ROWS = 1_000
 # Into how many parts a large sub-table falls in a shuffled join.
-SALTS = 16
+SALTS = 64
 
 
 def slice_by_time(df: DataFrame, time_range: TimeRange, out: str = "slice") -> DataFrame:
@@ -58,12 +58,19 @@ def read_tables(
     """The rows of the listed sub-tables. A sub-table listed twice is read twice.
 
     ``tables`` is a list of names, or a frame with a column ``name`` when the list itself is
-    data. ``spread`` is a column that varies inside a sub-table; it splits large sub-tables
-    when the list is too long to be sent to every task.
+    data; its names are then looked up first, up to a bound. ``spread`` is a column that varies
+    inside a sub-table; it splits large sub-tables when the list is too long to be sent to
+    every task.
     """
     if isinstance(tables, DataFrame):
-        return _join_listed(df, tables.groupBy(name).agg(F.count(F.lit(1)).cast("int").alias("_times")), name, spread)
-    times = Counter(tables)
+        # as in any equality, NULL is no name
+        listed = tables.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_times"))
+        few = listed.limit(LISTED_NAMES + 1).collect()
+        if len(few) > LISTED_NAMES:
+            return _join_listed(df, listed, name, spread)
+        times = {row[name]: row["_times"] for row in few}
+    else:
+        times = Counter(tables)
     if len(times) <= IN_LIST_NAMES:
         chosen = df.where(F.col(name).isin(list(times)) if times else F.lit(False))
         repeated = {n: c for n, c in times.items() if c > 1}
@@ -71,22 +78,19 @@ def read_tables(
             return chosen
         lookup = F.create_map(*[F.lit(x) for pair in repeated.items() for x in pair])
         return _repeat(chosen, F.coalesce(lookup[F.col(name)], F.lit(1)))
-    listed = df.sparkSession.createDataFrame(list(times.items()), f"`{name}` string, _times int")
-    if sum(len(n.encode("utf-8")) + 8 for n in times) <= BROADCAST_LIST_BYTES:
-        joined = df.join(F.broadcast(listed), name)
-        return _repeat(joined, F.col("_times")).select(*df.columns)
-    return _join_listed(df, listed, name, spread)
+    listed = df.sparkSession.createDataFrame(list(times.items()), f"`{name}` string, _times long")
+    if len(times) > LISTED_NAMES:
+        return _join_listed(df, listed, name, spread)
+    return _repeat(df.join(F.broadcast(listed), name), F.col("_times")).select(*df.columns)
 
 
 def _repeat(df: DataFrame, times: Column) -> DataFrame:
-    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).drop("_copy")
 
 
 def _join_listed(df: DataFrame, listed: DataFrame, name: str, spread: str) -> DataFrame:
-    """Both sides shuffled by name and salt, so that one large sub-table spreads over many tasks.
-
-    No broadcast is asked for: the optimizer takes one only below its own size threshold.
-    """
+    """Both sides shuffled by name and salt, so that one large sub-table spreads over many
+    tasks; adaptive execution splits what is still too large."""
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)).cast("int"))
     copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return _repeat(salted.join(copies, [name, "_salt"]), F.col("_times")).select(*df.columns)

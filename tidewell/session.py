@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def build_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **settings: str
+) -> SparkSession:
     """A local session for tests and benches. A cluster brings its own session."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidewell")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -19,8 +21,10 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
