@@ -119,6 +119,9 @@ def _meters_spec(spark: SparkSession, sf_dir: str, name: str = "meters") -> Tabl
             column_field("groupid", "INT", tag=True),
         ],
         order_by=("event_id",),
+        # by construction: the tags are functions of the user, event ids are unique
+        fixed_tags=True,
+        distinct_order=True,
         **_layout(spark, sf_dir),
     )
 
@@ -586,6 +589,7 @@ def stream_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hourly",
         [column_field("ts", "TIMESTAMP"), column_field("event_id", "BIGINT"), column_field("voltage", "INT")],
         order_by=("event_id",),
+        distinct_order=True,
         **_layout(spark, sf_dir),
     )
     table = _lake(spark, "stream-collapse").create_table("power", spec)

@@ -173,6 +173,27 @@ def test_periods(lake, spark, period, folder):
         meters.spec(period="week")
 
 
+def test_promises_make_the_collapse_hash(lake, spark):
+    columns = [column_field("n", "BIGINT"), *meters.COLUMNS]
+    rows = meters.frame(spark, copies=True).withColumn("n", F.monotonically_increasing_id())
+    results = []
+    for name, promised in (("plain", False), ("promised", True)):
+        spec = TableSpec.super(name, columns, order_by=("n",), fixed_tags=promised, distinct_order=promised)
+        table = lake.create_table("power", spec)
+        assert lake.table("power", name).spec == spec
+        table.append(rows)
+        plan = table.read()._jdf.queryExecution().executedPlan().toString()
+        assert ("SortAggregate" in plan) is not promised
+        results.append(sorted(table.read().collect()))
+    assert results[0] == results[1] and len(results[0]) == 18
+
+
+def test_a_table_is_created_once(lake):
+    lake.create_table("power", meters.spec("once"))
+    with pytest.raises(ValueError, match="already"):
+        lake.create_table("power", meters.spec("once"))
+
+
 def test_tables_of_a_database(lake):
     lake.create_table("power", meters.spec("a"))
     lake.create_table("power", TableSpec.normal("b", [column_field("x", "INT")]))

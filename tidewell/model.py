@@ -74,6 +74,8 @@ class TableSpec:
     normal_key: tuple[str, ...] = ()
     buckets: int = 1
     period: str = "day"
+    fixed_tags: bool = False
+    distinct_order: bool = False
 
     def __post_init__(self):
         if self.period not in PERIODS:
@@ -120,6 +122,8 @@ class TableSpec:
             "normal_key": list(self.normal_key),
             "buckets": self.buckets,
             "period": self.period,
+            "fixed_tags": self.fixed_tags,
+            "distinct_order": self.distinct_order,
         }
 
     @staticmethod
@@ -133,6 +137,8 @@ class TableSpec:
             tuple(value["normal_key"]),
             value["buckets"],
             value["period"],
+            value["fixed_tags"],
+            value["distinct_order"],
         )
 
 

@@ -35,6 +35,8 @@ class TableStore:
 
     @staticmethod
     def create(spark: SparkSession, path: str, spec: TableSpec) -> "TableStore":
+        if fs.exists(spark, f"{path.rstrip('/')}/table.json"):
+            raise ValueError(f"there is a table at {path} already")
         fs.write_json(spark, f"{path.rstrip('/')}/table.json", spec.to_json())
         fs.make_folder(spark, f"{path.rstrip('/')}/log")
         return TableStore(spark, path, spec)
@@ -185,9 +187,10 @@ class TableStore:
     def _collapsed(self, rows: DataFrame | None) -> DataFrame | None:
         if rows is None or not self.spec.key:
             return rows
-        # period and bucket are functions of the key: as part of it they change nothing, and
-        # conditions on them still reach the scan.
-        return collapse_rows(rows, [*self.spec.key, *self.spec.layout], self.spec.order_by)
+        # Period and bucket are functions of the key: as part of it they change nothing, and
+        # conditions on them still reach the scan. Fixed tags are functions of it by promise.
+        key = [*self.spec.key, *self.spec.layout, *(self.spec.tags if self.spec.fixed_tags else [])]
+        return collapse_rows(rows, key, self.spec.order_by, self.spec.distinct_order)
 
     def tags(self) -> DataFrame:
         """One row per sub-table: its name and its tags, as of its latest row.

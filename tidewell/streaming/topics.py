@@ -40,6 +40,8 @@ class Topic:
         spark: SparkSession, path: str, table: TableStore, select: Sequence[str] = ("*",), where: str = ""
     ) -> "Topic":
         """Store the SELECT: columns as SQL expressions, and an optional condition."""
+        if fs.exists(spark, f"{path.rstrip('/')}/topic.json"):
+            raise ValueError(f"there is a topic at {path} already")
         stored = {"table": table.path, "select": list(select), "where": where}
         fs.write_json(spark, f"{path.rstrip('/')}/topic.json", stored)
         return Topic(spark, path.rstrip("/"))
