@@ -226,10 +226,12 @@ def per_table_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def per_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The path for large limits, with pieces small enough to split these sub-tables too."""
+    """The path for large limits. On small inputs the pieces are small, so that sub-tables are
+    split there too; from some GB on they have their usual size."""
     rows = _meters(spark, sf_dir).select("event_id", "ts", "tbname")
+    piece_rows = min(1_000_000, max(16, input_bytes(rows) >> 16))
     numbered = number_rows(
-        rows, ["tbname"], ["ts desc", "event_id desc"], "position", up_to=40, piece_rows=16
+        rows, ["tbname"], ["ts desc", "event_id desc"], "position", up_to=40, piece_rows=piece_rows
     )
     return numbered.select("event_id", "tbname", "position")
 

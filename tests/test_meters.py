@@ -171,6 +171,15 @@ def test_requests_by_text_over_stored_tables(source, lake):
     assert meters.total(lake.scan("power", ScanRequest(sql="select * from meters where groupid = 1"))) == 606 * 3
 
 
+@pytest.mark.parametrize("name", ["meters", "`meters`", "power.meters", "`power`.`meters`", "power . meters"])
+def test_tables_by_plain_and_qualified_names(source, lake, name):
+    assert lake.sql("power", f"SELECT sum(voltage) FROM {name}").first()[0] == 1221 * 3
+    longer = lake.create_table("power", meters.spec("meters_old"))
+    assert longer.read().count() == 0
+    assert lake.sql("power", f"SELECT sum(voltage) s FROM {name} UNION ALL SELECT count(*) FROM power.meters_old").count() == 2
+    assert meters.total(read(lake, f"SELECT * FROM {name} WHERE groupid = 2")) == 615 * 3
+
+
 def test_a_copy_of_one_sub_table_into_a_normal_table(source, lake, spark):
     target = lake.create_table("power_sink", TableSpec.normal("sink_normal", meters.COLUMNS[:4], key=["ts"]))
     rows = source.read(tables=["d1001"]).select("ts", "current", "voltage", "phase")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,7 @@ from . import fs
 from .model import TableSpec
 from .plans.request import ScanRequest
 from .sinks.store import TableStore
-from .sources.scan import scan
+from .sources.scan import run_sql, scan
 from .streaming.topics import Topic
 
 
@@ -44,9 +45,17 @@ class Lake:
     def topic(self, topic: str) -> Topic:
         return Topic.open(self.spark, self._topic_path(topic))
 
-    def named_in(self, database: str, text: str) -> dict[str, DataFrame]:
-        """The rows of the tables whose names occur in a text."""
-        return {name: store.read() for name, store in self.tables(database).items() if name in text}
+    def _prepared(self, database: str, text: str) -> tuple[str, dict[str, DataFrame]]:
+        """The rows of the tables a text names, and the text with their names unqualified."""
+        used = {name: store.read() for name, store in self.tables(database).items() if name in text}
+        for name in used:
+            qualified = rf"(?<![\w`.])`?{re.escape(database)}`?\s*\.\s*`?{re.escape(name)}(?!\w)`?"
+            text = re.sub(qualified, f"`{name}`", text)
+        return text, used
+
+    def sql(self, database: str, text: str) -> DataFrame:
+        """A query over the tables of a database, by their names alone or after the database's."""
+        return run_sql(self.spark, *self._prepared(database, text))
 
     def scan(self, database: str, request: ScanRequest) -> DataFrame:
         """``scan`` over stored tables.
@@ -56,7 +65,8 @@ class Lake:
         request by text is pruned by the conditions in the text.
         """
         if request.sql:
-            return scan(self.spark, request, self.named_in(database, request.sql))
+            text, used = self._prepared(database, request.sql)
+            return scan(self.spark, replace(request, sql=text), used)
         store = self.table(database, request.table)
         start = end = None
         time = request.time

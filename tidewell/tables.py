@@ -25,7 +25,6 @@ from .plans.options import TableOptions
 from .sinks.jdbc import write_jdbc
 from .sinks.store import TableStore
 from .sources.jdbc import read_jdbc
-from .sources.scan import run_sql
 from .streaming.pipeline import stream_into_table
 from .streaming.topics import ConsumerGroup
 
@@ -84,7 +83,7 @@ def _open_source(spark: SparkSession, opts: TableOptions) -> DataFrame:
     if _is_jdbc(url):
         return read_jdbc(spark, url, query, options=opts.connection)
     lake, database = _lake_and_database(spark, url, opts.get("dbname"))
-    return run_sql(spark, query, lake.named_in(database, query))
+    return lake.sql(database, query)
 
 
 def _topic_group(spark: SparkSession, opts: TableOptions):
