@@ -7,6 +7,7 @@ many are open, the fullest one is closed.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -14,15 +15,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._common import stored, whole_text
+from ._common import LOWER, UPPER, stored, whole_text
 
 SEQUENCE = 2048
-#: Sequences a task holds open.
-OPEN = 1024
-#: Pieces that one packing task takes on average, 24 bytes each.
-PIECES_PER_TASK = 100_000
-#: Words whose ids a worker remembers; when full it starts anew.
-REMEMBERED = 400_000
+#: Sequences a task holds open, and pieces that it takes on average, 24 bytes each.
+OPEN, PIECES_PER_TASK = 16_384, 20_000
+#: Parts, and words, whose ids a worker remembers; when full it starts anew.
+REMEMBERED = 500_000
+#: Texts that are tokenized together.
+TEXTS_AT_ONCE = 256
+#: Closing marks of a part: ASCII signs that the tokenizer keeps apart from letters. A quote is not
+#: among them, as it may belong to a contraction, nor is a sign of the tokenizer's special tokens.
+MARKS = ".,!?;:$%&#*"
+_FOLDED = str.maketrans(UPPER, LOWER)
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
@@ -31,50 +36,97 @@ _PACKED = _PIECES + ", sequence_id long, offset long"
 class WordIds:
     """Packed ids of whole texts, put together from the ids of their parts between blanks.
 
-    The tokenizer never joins anything across a blank, so the ids of a text are those of its parts
-    in order. Parts repeat; their ids are remembered up to a bound.
+    The tokenizer never joins anything across a blank, so the ids of a text are those of its parts in
+    order. A part of letters and closing marks is a word and a run of marks to the tokenizer, and A-Z
+    are folded. Parts and words repeat; their ids are remembered up to a bound.
     """
 
-    def __init__(self, tokenizer_file: str, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
-        self._remembered = remembered
-        self._ids: dict[str, bytes] = {"": b""}
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of the text."""
-        parts = text.replace("\n", " ").split(" ")
-        known = self._ids
-        missing = list({part for part in parts if part not in known})
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._parts: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        if len(self._parts) > REMEMBERED:
+            self._parts.clear()
+        missing = set().union(*split).difference(self._parts)
         if missing:
-            if len(known) + len(missing) > self._remembered:
-                known.clear()
-                known[""] = b""
-                missing = list({part for part in parts if part})
-            for part, found in zip(missing, self._tokenizer.encode_batch(missing, add_special_tokens=False)):
-                known[part] = np.asarray(found.ids, "<u4").tobytes()
-        return b"".join([known[part] for part in parts])
+            self._learn(missing)
+        known = self._parts.__getitem__
+        return [b"".join(map(known, parts)) for parts in split]
+
+    def _learn(self, parts: set[str]) -> None:
+        if len(self._words) > REMEMBERED:
+            self._words.clear()
+        composed, others = [], []
+        for part in parts:
+            word = part.rstrip(MARKS)
+            if word.isalpha():
+                folded = word.translate(_FOLDED) if word.isascii() else word
+                composed.append((part, folded, part[len(word) :]))
+            else:
+                others.append(part)
+        new = {word for _, word, _ in composed}.difference(self._words)
+        self._words.update(self._of_words(list(new)))
+        marks = {mark for _, _, mark in composed}.difference(self._words)
+        self._words.update(self._one_by_one(list(marks)))
+        for part, word, mark in composed:
+            self._parts[part] = self._words[word] + self._words[mark]
+        self._parts.update(self._one_by_one(others))
+
+    def _of_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters: in one text, cut after each token that ends a word."""
+        if not words:
+            return {}
+        ids = np.array(self._tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self._ends_word[ids]) + 1)).tolist()
+        if len(ends) != len(words):
+            return self._one_by_one(words)
+        data = ids.tobytes()
+        return {word: data[a:b] for word, a, b in zip(words, [0, *ends], ends)}
+
+    def _one_by_one(self, parts: list[str]) -> dict[str, bytes]:
+        found = self._tokenizer.encode_batch(parts, add_special_tokens=False) if parts else []
+        return {part: np.array(x.ids, "<u4").tobytes() for part, x in zip(parts, found)}
+
+
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def _encoder(tokenizer_file: str) -> WordIds:
+    """One encoder per worker process; its tasks share what it remembers."""
+    if tokenizer_file not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
+        _ENCODERS[tokenizer_file] = WordIds(tokenizer_file)
+    return _ENCODERS[tokenizer_file]
 
 
 def _tokenize(tokenizer_file: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(tokenizer_file)
+        encoder = _encoder(tokenizer_file)
         step = 4 * size
-        for batch in batches:
-            rows: list[tuple] = []
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, batch.column("text")):
-                data = encoder.encode(text.as_py()) + b"\0\0\0\0"
-                for piece, at in enumerate(range(0, len(data), step)):
-                    part = data[at : at + step]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(columns, kinds)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(at, TEXTS_AT_ONCE)
+                rows: list[tuple] = []
+                encoded = encoder.encode(batch.column("text").to_pylist())
+                for doc_id, data in zip(batch.column("doc_id").to_pylist(), encoded):
+                    data += b"\0\0\0\0"
+                    for piece, begin in enumerate(range(0, len(data), step)):
+                        part = data[begin : begin + step]
+                        rows.append((doc_id, piece, begin // 4, len(part) // 4, zlib.crc32(part)))
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return run
 
@@ -148,8 +200,8 @@ def pack_documents(
     A document is its ids and a closing 0; null counts as empty, so it is the closing 0 alone. Only
     documents longer than ``size`` are cut. Repeated rows and repeated or null ids are packed like
     any others; other columns are not read. The ids stay with the documents: only the sizes of the
-    pieces are shuffled, to tasks of about ``pieces_per_task`` pieces in a fixed pseudo-random order,
-    which is what best-fit packs well. An empty table gives no rows.
+    pieces are shuffled, pseudo-randomly but always alike, to tasks of about ``pieces_per_task`` pieces,
+    which take the longest first, as best-fit then leaves the least space. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     pieces = stored(texts.mapInArrow(_tokenize(tokenizer_file, size), _PIECES), "pieces")
@@ -157,7 +209,7 @@ def pack_documents(
     order = F.xxhash64("doc_id", "piece", "ids_crc32")
     return (
         pieces.repartition(tasks, order)
-        .sortWithinPartitions(order, "doc_id", "piece", "ids_crc32")
+        .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
         .withColumn("task", F.spark_partition_id().cast("long"))
         .mapInArrow(_pack(size, most_open), _PACKED)
     )
