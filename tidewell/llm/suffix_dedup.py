@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ._common import partitions, whole_text
@@ -226,10 +227,12 @@ _RANGE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("begin", "<i8"), ("end", "<i
 
 def _pack_contexts(entries: list[tuple], texts: list[bytes]) -> bytes:
     head = np.array(entries, _ENTRY)
-    return len(head).to_bytes(8, "little") + head.tobytes() + b"".join(texts)
+    plain = len(head).to_bytes(8, "little") + head.tobytes() + b"".join(texts)
+    return zstandard.ZstdCompressor(level=3).compress(plain)
 
 
 def _unpack_contexts(data: bytes) -> tuple[np.ndarray, list[bytes]]:
+    data = zstandard.ZstdDecompressor().decompress(data)
     n = int.from_bytes(data[:8], "little")
     head = np.frombuffer(data, _ENTRY, n, 8)
     ends = 8 + n * _ENTRY.itemsize + np.cumsum(head["size"].astype(np.int64))
@@ -486,9 +489,8 @@ def remove_repeats(
     )
     grams = rows.mapInArrow(_elect(buckets), _GRAMS)
     shared = grams.groupBy("bucket").applyInArrow(_shared(groups), "grp int, docs binary, counts binary, hashes binary")
-    mixed = F.col("id")
     tagged = rows.select(
-        _group_column(mixed, groups).alias("grp"), "id", F.crc32("text").cast("long").alias("tag"), "text"
+        _group_column(F.col("id"), groups).alias("grp"), "id", F.crc32("text").cast("long").alias("tag"), "text"
     )
     contexts = tagged.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send(buckets), _CONTEXTS)
     ranges = contexts.groupBy("bucket").applyInArrow(lambda table: _settle(table, groups), "grp int, ranges binary")
