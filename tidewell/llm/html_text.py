@@ -205,18 +205,21 @@ def _amounts(node: Node) -> tuple[int, int]:
 # texts maps a digest of the node's own text to the pages that have it.
 
 
-def template_of(node: Node) -> list:
-    """The template of one page. Adjacent siblings of one label are one node."""
+def template_of(node: Node, seen: dict[int, list] | None = None) -> list:
+    """The template of one page. Adjacent siblings of one label are one node. ``seen`` collects the
+    template of every single node by its identity."""
     own = "".join(item[0] for item in node.items if isinstance(item, tuple)).strip()
     link = sum(len(item[0].strip()) for item in node.items if isinstance(item, tuple) and item[1])
     children: list[list] = []
-    for child in map(template_of, node.children):
+    for child in (template_of(child, seen) for child in node.children):
         if children and children[-1][0] == child[0]:
             children[-1] = _joined(children[-1], child)
         else:
             children.append(child)
-    texts = {_digest(own): 1} if own else {}
-    return [node.label, 1, len(own), link, texts, children]
+    made = [node.label, 1, len(own), link, {_digest(own): 1} if own else {}, children]
+    if seen is not None:
+        seen[id(node)] = made
+    return made
 
 
 def _digest(text: str) -> str:
@@ -342,18 +345,29 @@ def _article(root: Node) -> list[Node]:
     return [node for node, size in zip(found, sizes) if size and size >= 0.3 * max(sizes)]
 
 
-def extract(html: str | None, template: list | None = None) -> str:
-    """The main text of a page, given the template of its host."""
+class Wrapper:
+    """The template of a host, the way to its slot, and whether its pages differ enough to tell
+    what is template."""
+
+    def __init__(self, template: list):
+        self.template = template
+        self.path = slot_path(template)
+        self.differs = not _same_article(template, self.path)
+
+
+def extract(html: str | None, wrapper: Wrapper | None = None) -> str:
+    """The main text of a page, given the wrapper of its host."""
     if not html:
         return ""
     root = parse(html)
     fixed: set[int] = set()
     slot = None
-    if template is not None:
-        path = slot_path(template)
-        slot = _mark(root, template, path, fixed)
-        if _same_article(template, path):
-            fixed = set()
+    if wrapper is not None:
+        seen: dict[int, list] = {}
+        template_of(root, seen)
+        slot = _mark(root, wrapper.template, wrapper.path, fixed, seen)
+        if not wrapper.differs:
+            fixed.clear()
     # an article's own header holds its title
     refused = lambda node: node.refused and not (node.tag == "header" and not node.names & NOT_CONTENT_NAMES)
     articles = _article(root)
@@ -376,9 +390,11 @@ def _linked(node: Node) -> bool:
     return text > 0 and 2 * link > text
 
 
-def _mark(node: Node, template: list, path: list[int] | None, fixed: set[int]) -> Node | None:
+def _mark(
+    node: Node, template: list, path: list[int] | None, fixed: set[int], seen: dict[int, list]
+) -> Node | None:
     """Aligns a page with the template. Collects the nodes whose text is the template's, and returns
-    the node at the path, if the page has it."""
+    the node at the path, if the page has it. ``seen`` has the template of each of the page's nodes."""
     found = node if path == [] else None
     children = node.children
     runs: list[list[Node]] = []
@@ -387,15 +403,16 @@ def _mark(node: Node, template: list, path: list[int] | None, fixed: set[int]) -
             runs[-1].append(child)
         else:
             runs.append([child])
-    own = [template_of(run[0]) for run in runs]
+    own = [seen[id(run[0])] for run in runs]
     for i, j in pairs_of(own, template[5]):
+        part = template[5][j]
+        common = _common(part) if not part[5] and constant(part) else set()
+        down = path[1:] if path and path[0] == j else None
         for child in runs[i]:
-            own_text = template_of(child)
-            part = template[5][j]
-            if not part[5] and constant(part) and own_text[4] and set(own_text[4]) <= _common(part):
+            texts = seen[id(child)][4]
+            if texts and texts.keys() <= common:
                 fixed.add(id(child))
-            down = path[1:] if path and path[0] == j else None
-            found = _mark(child, part, down, fixed) or found
+            found = _mark(child, part, down, fixed, seen) or found
     return found
 
 
@@ -451,15 +468,15 @@ def induce(pages: DataFrame) -> DataFrame:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    templates: dict[str, list] = {}
+    wrappers: dict[str | None, Wrapper | None] = {None: None}
     for batch in batches:
         texts = []
         for page, template in zip(batch.column("html"), batch.column("template").to_pylist()):
-            if template is not None and template not in templates:
-                if len(templates) > 64:
-                    templates.clear()
-                templates[template] = json.loads(template)
-            texts.append(extract(page.as_py(), templates.get(template)))
+            if template not in wrappers:
+                if len(wrappers) > 256:
+                    wrappers = {None: None}
+                wrappers[template] = Wrapper(json.loads(template))
+            texts.append(extract(page.as_py(), wrappers[template]))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("page_id"),

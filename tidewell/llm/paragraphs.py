@@ -25,6 +25,8 @@ BANDS, ROWS = 8, 3
 #: Words on either side that decide where a paragraph is cut.
 REACH = 6
 REMEMBERED = 400_000
+#: Words that are looked at together.
+WORDS_AT_ONCE = 200_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -68,15 +70,22 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
     return _mixed(value)
 
 
-def cuts(hashes: np.ndarray) -> np.ndarray:
-    """Places at which a paragraph is cut: words whose pair hash is the least of their neighbourhood."""
+def cuts(hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places at which paragraphs are cut: words whose pair hash is the least of their neighbourhood,
+    the first of equals. The words of all paragraphs stand back to back."""
     n = len(hashes) - 1
-    width = 2 * REACH + 1
-    if n < width:
+    if n < 2 * REACH + 1:
         return np.empty(0, np.int64)
     pairs = _mixed(hashes[:-1] * np.uint64(3) + hashes[1:])
-    windows = np.lib.stride_tricks.sliding_window_view(pairs, width)
-    return np.flatnonzero(windows.argmin(axis=1) == REACH) + REACH
+    least = pairs
+    for width in (1, 2):  # the least of 4 words from each on, then of REACH
+        least = np.minimum(least[:-width], least[width:])
+    least = np.minimum(least[: n - REACH + 1], least[REACH - 4 :])
+    middle = pairs[REACH : n - REACH]
+    lowest = (middle < least[: len(middle)]) & (middle <= least[REACH + 1 :])
+    at = np.flatnonzero(lowest) + REACH
+    line = np.searchsorted(ends, at, side="right")
+    return at[(at - REACH >= begins[line]) & (at + REACH <= ends[line] - 2)]
 
 
 def bands(grams: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -97,33 +106,48 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Paragraphs with their bands, and their parts."""
     words_of = Words()
     for batch in batches:
-        rows: list[tuple] = []
-        grams: list[np.ndarray] = []
-        whole: list[int] = []
+        lines: list[tuple] = []
+        size = 0
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             for paragraph, line in enumerate(text.as_py().lower().split(b"\n")):
                 words = line.split()
-                if len(words) < LEAST_WORDS:
-                    continue
-                hashes = np.array(words_of.hashes(words), np.uint64)
-                whole.append(len(rows))
-                grams.append(shingles(hashes))
-                rows.append((doc_id, paragraph, -1, len(words), _digest(words)))
-                at = [0, *cuts(hashes).tolist(), len(words)]
-                for part, (a, b) in enumerate(zip(at, at[1:])):
-                    if b - a >= LEAST_PART and len(at) > 2:
-                        rows.append((doc_id, paragraph, part, b - a, _digest(words[a:b])))
-        found: list[bytes | None] = [None] * len(rows)
-        if grams:
-            begins = np.cumsum([0] + [len(g) for g in grams[:-1]])
-            for i, band in zip(whole, bands(np.concatenate(grams), begins)):
-                found[i] = band.tobytes()
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(found, pa.binary())],
-            names=["doc_id", "paragraph", "part", "n_words", "digest", "bands"],
-        )
+                if len(words) >= LEAST_WORDS:
+                    lines.append((doc_id, paragraph, words))
+                    size += len(words)
+            if size > WORDS_AT_ONCE:
+                yield _rows_of(lines, words_of)
+                lines, size = [], 0
+        if lines:
+            yield _rows_of(lines, words_of)
+
+
+def _rows_of(lines: list[tuple], words_of: Words) -> pa.RecordBatch:
+    sizes = np.array([len(words) for _, _, words in lines])
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    hashes = np.array([h for _, _, words in lines for h in words_of.hashes(words)], np.uint64)
+    # shingles that do not cross the end of a paragraph
+    grams = shingles(hashes)
+    inside = np.ones(len(hashes), bool)
+    for back in range(1, SHINGLE):
+        inside[ends - back] = False
+    found = bands(grams[inside[: len(grams)]], np.cumsum(sizes - SHINGLE + 1) - (sizes - SHINGLE + 1))
+    places = cuts(hashes, begins, ends)
+    first = np.searchsorted(places, begins).tolist()
+    after = np.searchsorted(places, ends).tolist()
+    rows: list[tuple] = []
+    for k, (doc_id, paragraph, words) in enumerate(lines):
+        rows.append((doc_id, paragraph, -1, len(words), _digest(words), found[k].tobytes()))
+        if first[k] < after[k]:
+            at = [0, *(places[first[k] : after[k]] - begins[k]).tolist(), len(words)]
+            for part, (a, b) in enumerate(zip(at, at[1:])):
+                if b - a >= LEAST_PART:
+                    rows.append((doc_id, paragraph, part, b - a, _digest(words[a:b]), None))
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+        names=["doc_id", "paragraph", "part", "n_words", "digest", "bands"],
+    )
 
 
 def _digest(words: list[bytes]) -> int:
