@@ -80,7 +80,9 @@ class Node:
                 found.setdefault(name.lower(), value.strip("\"'"))
         names = f"{found.get('class', '')} {found.get('id', '')}"
         self.names = {part.lower() for part in _NAME_PARTS.findall(names)}
-        self.label = f"{tag}.{found['class'].split()[0]}" if found.get("class", "").split() else tag
+        # an id without its digits, which often are the page's own
+        named = (found.get("class", "").split() or re.sub(r"\d+", "", found.get("id", "")).split() or [""])[0]
+        self.label = f"{tag}.{named}" if named else tag
         self.items: list = []
         self.refused = (
             tag in NOT_CONTENT or found.get("role", "").lower() in NOT_CONTENT_ROLES or bool(self.names & NOT_CONTENT_NAMES)
