@@ -233,10 +233,9 @@ def per_table_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def per_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The path for large limits. On small inputs the pieces are small, so that sub-tables are
-    split there too; from some GB on they have their usual size."""
+    """The path for large limits, with pieces small enough that sub-tables are split."""
     rows = _meters(spark, sf_dir).select("event_id", "ts", "tbname")
-    piece_rows = min(1_000_000, max(16, input_bytes(rows) >> 16))
+    piece_rows = 500
     numbered = number_rows(
         rows, ["tbname"], ["ts desc", "event_id desc"], "position", up_to=40, piece_rows=piece_rows
     )
@@ -444,12 +443,10 @@ def values_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = spark.sql(
         """
         SELECT * FROM VALUES
-          (CAST('2024-01-19 19:12:45' AS TIMESTAMP), 50.3, 201, 3.25, 'loc_1', 1, 'd1001'),
-          (CAST('2024-01-19 19:12:46' AS TIMESTAMP), 82.6, 202, 0.33, 'loc_1', 1, 'd1001'),
-          (CAST('2024-01-19 19:12:47' AS TIMESTAMP), 92.3, 203, 0.31, 'loc_1', 1, 'd1001'),
-          (CAST('2024-01-19 19:12:45' AS TIMESTAMP), 50.3, 204, 3.25, 'loc_2', 2, 'd1002'),
-          (CAST('2024-01-19 19:12:46' AS TIMESTAMP), 62.6, 205, 0.33, 'loc_2', 2, 'd1002'),
-          (CAST('2024-01-19 19:12:47' AS TIMESTAMP), 72.3, 206, 0.31, 'loc_2', 2, 'd1002')
+          (CAST('2023-05-02 06:00:00' AS TIMESTAMP), 11.5, 118, 0.75, 'loc_6', 6, 'd9006'),
+          (CAST('2023-05-02 06:20:00' AS TIMESTAMP), 12.25, 121, 0.5, 'loc_6', 6, 'd9006'),
+          (CAST('2023-05-02 06:40:00' AS TIMESTAMP), 13.0, 117, 0.25, 'loc_6', 6, 'd9006'),
+          (CAST('2023-05-03 21:15:30' AS TIMESTAMP), 7.75, 233, 1.5, 'loc_8', 8, 'd9018')
         """
     )
     table.append(values, batch="values", fields=TAGGED, by="position")
@@ -532,7 +529,7 @@ def insert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_statements(statements, folder)
     lines = spark.read.option("lineSep", ";\n").text(folder)
     prefix = "INSERT INTO `power`.`meters` (`ts`,`voltage`,`location`,`groupid`,`tbname`) VALUES "
-    tuples = F.substring("value", len(prefix) + 1, 1_000_000)
+    tuples = F.expr(f"substring(value, {len(prefix) + 1})")
     return lines.agg(
         F.sum(F.regexp_count("value", F.lit(r"\(\d+,"))).alias("tuples"),
         F.sum(F.length(tuples)).alias("tuple_chars"),

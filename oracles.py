@@ -166,12 +166,10 @@ ORACLES: dict[str, str] = {
         SELECT {_METERS} FROM K
         UNION ALL
         SELECT NULL, ts, current, voltage, phase, location, groupid, tbname FROM (VALUES
-          (TIMESTAMP '2024-01-19 19:12:45', CAST(50.3 AS DOUBLE), 201, CAST(3.25 AS DOUBLE), 'loc_1', 1, 'd1001'),
-          (TIMESTAMP '2024-01-19 19:12:46', CAST(82.6 AS DOUBLE), 202, CAST(0.33 AS DOUBLE), 'loc_1', 1, 'd1001'),
-          (TIMESTAMP '2024-01-19 19:12:47', CAST(92.3 AS DOUBLE), 203, CAST(0.31 AS DOUBLE), 'loc_1', 1, 'd1001'),
-          (TIMESTAMP '2024-01-19 19:12:45', CAST(50.3 AS DOUBLE), 204, CAST(3.25 AS DOUBLE), 'loc_2', 2, 'd1002'),
-          (TIMESTAMP '2024-01-19 19:12:46', CAST(62.6 AS DOUBLE), 205, CAST(0.33 AS DOUBLE), 'loc_2', 2, 'd1002'),
-          (TIMESTAMP '2024-01-19 19:12:47', CAST(72.3 AS DOUBLE), 206, CAST(0.31 AS DOUBLE), 'loc_2', 2, 'd1002')
+          (TIMESTAMP '2023-05-02 06:00:00', CAST(11.5 AS DOUBLE), 118, CAST(0.75 AS DOUBLE), 'loc_6', 6, 'd9006'),
+          (TIMESTAMP '2023-05-02 06:20:00', CAST(12.25 AS DOUBLE), 121, CAST(0.5 AS DOUBLE), 'loc_6', 6, 'd9006'),
+          (TIMESTAMP '2023-05-02 06:40:00', CAST(13.0 AS DOUBLE), 117, CAST(0.25 AS DOUBLE), 'loc_6', 6, 'd9006'),
+          (TIMESTAMP '2023-05-03 21:15:30', CAST(7.75 AS DOUBLE), 233, CAST(1.5 AS DOUBLE), 'loc_8', 8, 'd9018')
         ) AS v(ts, current, voltage, phase, location, groupid, tbname)
         """
     ),

@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -48,6 +49,18 @@ def read_json(spark: SparkSession, path: str):
         stream.close()
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if there is one already."""
+    file_system, hadoop_path = _resolve(spark, path)
+    try:
+        file_system.create(hadoop_path, False).close()
+    except Py4JJavaError:
+        if not file_system.exists(hadoop_path):
+            raise
+        return False
+    return True
+
+
 def write_json(spark: SparkSession, path: str, value) -> None:
     """Write a new file in one step: readers see all of it or nothing."""
     file_system, target = _resolve(spark, path)

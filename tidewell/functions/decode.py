@@ -13,7 +13,8 @@ _RAW = {"VARBINARY", "GEOMETRY"}
 def decode_column(source: Column, source_type: T.DataType, target: T.StructField, charset: str = "UTF-8") -> Column:
     """One raw value as the type of ``target``; NULL stays NULL, a bad value is an error.
 
-    Texts may come as bytes in ``charset``, time stamps as epoch milliseconds.
+    Texts may come as bytes in ``charset``, time stamps as epoch milliseconds. Other values convert as
+    in a write: without loss or not at all, whatever the session's ANSI setting.
     """
     kind = type_name_of(target)
     if kind in _TEXT and isinstance(source_type, T.BinaryType):
@@ -22,7 +23,9 @@ def decode_column(source: Column, source_type: T.DataType, target: T.StructField
         return F.encode(source, charset)
     if kind == "TIMESTAMP" and isinstance(source_type, T.IntegralType):
         return F.timestamp_millis(source)
-    return source.cast(target.dataType)
+    from ..operators.binding import checked  # these modules build on each other
+
+    return checked(source, source_type, target)
 
 
 def decode_rows(df: DataFrame, schema: T.StructType, charset: str = "UTF-8") -> DataFrame:

@@ -11,7 +11,7 @@ from . import fs
 from .model import TableSpec
 from .plans.request import ScanRequest
 from .sinks.store import TableStore
-from .sources.scan import run_sql, scan
+from .sources.scan import names, run_sql, scan, split_sql
 from .streaming.topics import Topic
 
 
@@ -35,9 +35,11 @@ class Lake:
         return TableStore.open(self.spark, self._table_path(database, table))
 
     def tables(self, database: str) -> dict[str, TableStore]:
+        return {name: self.table(database, name) for name in self._table_names(database)}
+
+    def _table_names(self, database: str) -> list[str]:
         found = fs.glob(self.spark, f"{self._table_path(database, '*')}/table.json")
-        names = [path.split("/")[-2] for path in found]
-        return {name: self.table(database, name) for name in names}
+        return [path.split("/")[-2] for path in found]
 
     def create_topic(self, topic: str, table: TableStore, select=("*",), where: str = "") -> Topic:
         return Topic.create(self.spark, self._topic_path(topic), table, select, where)
@@ -46,12 +48,15 @@ class Lake:
         return Topic.open(self.spark, self._topic_path(topic))
 
     def _prepared(self, database: str, text: str) -> tuple[str, dict[str, DataFrame]]:
-        """The rows of the tables a text names, and the text with their names unqualified."""
-        used = {name: store.read() for name, store in self.tables(database).items() if name in text}
+        """The rows of the tables a text names, and the text with their names unqualified. Literals
+        and comments name nothing and stay as they are."""
+        parts = split_sql(text)
+        code = " ".join(part for part, is_code in parts if is_code)
+        used = {name: self.table(database, name).read() for name in self._table_names(database) if names(code, name)}
         for name in used:
-            qualified = rf"(?<![\w`.])`?{re.escape(database)}`?\s*\.\s*`?{re.escape(name)}(?!\w)`?"
-            text = re.sub(qualified, f"`{name}`", text)
-        return text, used
+            qualified = rf"(?<![\w`.])`?{re.escape(database)}`?\s*\.\s*(`?){re.escape(name)}\1(?!\w)"
+            parts = [(re.sub(qualified, f"`{name}`", part) if is_code else part, is_code) for part, is_code in parts]
+        return "".join(part for part, _ in parts), used
 
     def sql(self, database: str, text: str) -> DataFrame:
         """A query over the tables of a database, by their names alone or after the database's."""
@@ -68,6 +73,8 @@ class Lake:
             text, used = self._prepared(database, request.sql)
             return scan(self.spark, replace(request, sql=text), used)
         store = self.table(database, request.table)
+        if request.tables is not None and request.limit is not None and not request.order_by:
+            request = replace(request, order_by=(store.spec.time,))
         start = end = None
         time = request.time
         if time is not None and not time.empty and time.column == store.spec.time and request.limit is None:

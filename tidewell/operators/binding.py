@@ -60,7 +60,11 @@ def _convert(index: int, column: Column, source: T.DataType, target: T.StructFie
         return column.cast(to), None
     if isinstance(source, _TEXT) and not isinstance(to, T.BinaryType):
         value = column.try_cast(to)
-        return value, column.isNotNull() & value.isNull()
+        lost = column.isNotNull() & value.isNull()
+        if isinstance(to, T.FractionalType) and not isinstance(to, T.DecimalType):
+            # a number too large for the type becomes infinite; only the text "Infinity" means that
+            lost = lost | (_infinite(value) & ~F.lower(column).contains("inf"))
+        return F.when(~lost, value), lost
     if isinstance(to, T.StringType) and not isinstance(source, (T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
         return column.cast(to), None
     raise ValueError(f"{_place(index, target)} does not take {source.simpleString()} values")
@@ -71,6 +75,8 @@ def _lost_number(column: Column, source: T.DataType, to: T.DataType) -> Column |
 
     Told by comparison: a cast that overflows costs an exception per row, even a tried one.
     """
+    if isinstance(source, T.DoubleType) and isinstance(to, T.FloatType):
+        return _infinite(column.cast(to)) & ~_infinite(column)
     if isinstance(source, T.BooleanType) or isinstance(to, T.FractionalType):
         return None
     if isinstance(to, T.BooleanType):
@@ -86,6 +92,10 @@ def _lost_number(column: Column, source: T.DataType, to: T.DataType) -> Column |
     return ~F.coalesce(fits, F.lit(True))
 
 
+def _infinite(column: Column) -> Column:
+    return F.coalesce(F.abs(column) == F.lit(float("inf")), F.lit(False))
+
+
 def _place(index: int, target: T.StructField) -> str:
     return f"field {index} (type {type_name_of(target)}, column {target.name})"
 
@@ -99,6 +109,11 @@ def _converted(index: int, column: Column, source: T.DataType, target: T.StructF
     return F.when(lost, F.raise_error(reason).cast(target.dataType)).otherwise(value)
 
 
+def checked(column: Column, source: T.DataType, target: T.StructField) -> Column:
+    """One value in the target's type; a value that would be lost stops the job."""
+    return _converted(0, column, source, target)
+
+
 def bind_rows(
     df: DataFrame, spec: TableSpec, fields: Sequence[str] | None = None, by: str = "name"
 ) -> DataFrame:

@@ -38,6 +38,13 @@ def _scale(df: DataFrame, name: str) -> Column:
     raise ValueError(f"large groups are split along a time or number column, not {name!r}")
 
 
+def can_cut(df: DataFrame, order_by: Sequence[str]) -> bool:
+    """Whether large groups can be cut along the first order column."""
+    first = _bare(order_by[0])
+    kinds = (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)
+    return first in df.columns and isinstance(df.schema[first].dataType, kinds)
+
+
 def number_rows(
     df: DataFrame,
     group: Sequence[str],

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..model import TBNAME
 from ..plans.time_range import TimeRange
-from .numbering import number_rows, sort_columns
+from .numbering import can_cut, number_rows, sort_columns
 
 # Up to here a list of names is a plain IN condition, which the file scan can use.
 IN_LIST_NAMES = 1_000
@@ -30,9 +30,11 @@ def slice_by_time(df: DataFrame, time_range: TimeRange, out: str = "slice") -> D
 
     One range condition on the bare column reaches the scan, however many windows there are.
     """
-    if time_range.column not in df.columns:
+    if time_range.empty:
         return df.where(F.lit(False)).withColumn(out, F.lit(0).cast("long"))
-    data_type = df.schema[time_range.column].dataType
+    if time_range.name not in df.columns:
+        raise ValueError(f"there is no column {time_range.column!r} to slice by time")
+    data_type = df.schema[time_range.name].dataType
     return df.where(time_range.contains(data_type)).withColumn(out, time_range.window_index(data_type))
 
 
@@ -53,21 +55,19 @@ def slice_by_tags(df: DataFrame, predicates: Sequence[str], out: str = "slice")
 
 
 def read_tables(
-    df: DataFrame, tables: Sequence[str] | DataFrame, name: str = TBNAME, spread: str = "ts"
+    df: DataFrame, tables: Sequence[str] | DataFrame, name: str = TBNAME
 ) -> DataFrame:
     """The rows of the listed sub-tables. A sub-table listed twice is read twice.
 
     ``tables`` is a list of names, or a frame with a column ``name`` when the list itself is
-    data; its names are then looked up first, up to a bound. ``spread`` is a column that varies
-    inside a sub-table; it splits large sub-tables when the list is too long to be sent to
-    every task.
+    data; its names are then looked up first, up to a bound.
     """
     if isinstance(tables, DataFrame):
         # as in any equality, NULL is no name
         listed = tables.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_times"))
         few = listed.limit(LISTED_NAMES + 1).collect()
         if len(few) > LISTED_NAMES:
-            return _join_listed(df, listed, name, spread)
+            return _join_listed(df, listed, name)
         times = {row[name]: row["_times"] for row in few}
     else:
         times = Counter(tables)
@@ -80,7 +80,7 @@ def read_tables(
         return _repeat(chosen, F.coalesce(lookup[F.col(name)], F.lit(1)))
     listed = df.sparkSession.createDataFrame(list(times.items()), f"`{name}` string, _times long")
     if len(times) > LISTED_NAMES:
-        return _join_listed(df, listed, name, spread)
+        return _join_listed(df, listed, name)
     return _repeat(df.join(F.broadcast(listed), name), F.col("_times")).select(*df.columns)
 
 
@@ -88,10 +88,10 @@ def _repeat(df: DataFrame, times: Column) -> DataFrame:
     return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).drop("_copy")
 
 
-def _join_listed(df: DataFrame, listed: DataFrame, name: str, spread: str) -> DataFrame:
+def _join_listed(df: DataFrame, listed: DataFrame, name: str) -> DataFrame:
     """Both sides shuffled by name and salt, so that one large sub-table spreads over many
     tasks; adaptive execution splits what is still too large."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread)), F.lit(SALTS)).cast("int"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int"))
     copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return _repeat(salted.join(copies, [name, "_salt"]), F.col("_times")).select(*df.columns)
 
@@ -101,9 +101,10 @@ def top_per_table(df: DataFrame, limit: int, order_by: Sequence[str], name: str
 
     Small limits cut every sub-table before the shuffle (the plan shows a partial group
     limit). For large ones the rows are numbered piece by piece, and pieces past the limit are
-    dropped before they are sorted.
+    dropped before they are sorted; that takes a time or a number as the first order column, and
+    other orders sort each sub-table as a whole.
     """
-    if limit <= GROUP_LIMIT_ROWS:
+    if limit <= GROUP_LIMIT_ROWS or not can_cut(df, order_by):
         window = Window.partitionBy(name).orderBy(*sort_columns(order_by))
         return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).drop("_rank")
     return number_rows(df, [name], order_by, out="_rank", up_to=limit).drop("_rank")

@@ -8,6 +8,8 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, functions as F, types as T
 
+from ..functions.names import trim_backticks
+
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -55,6 +57,11 @@ class TimeRange:
             datetime.strptime(start, pattern), datetime.strptime(end, pattern), column, interval, zone
         )
 
+    @property
+    def name(self) -> str:
+        """The column without backticks."""
+        return trim_backticks(self.column)
+
     @property
     def empty(self) -> bool:
         return not self.column or self.end_ms <= self.start_ms
@@ -87,24 +94,35 @@ class TimeRange:
         """One condition per window for an external database, which slices its own scan."""
         return [f"{self.column} >= {start} and {self.column} < {end}" for start, end in self.windows()]
 
+    def _place(self, data_type: T.DataType) -> Column:
+        """The column as it compares with the bounds: whole numbers are epoch milliseconds, dates
+        their midnights."""
+        column = F.col(f"`{self.name}`")
+        if isinstance(data_type, (T.IntegralType, T.TimestampType, T.TimestampNTZType)):
+            return column
+        if isinstance(data_type, T.DateType):
+            return column.cast("timestamp")
+        raise ValueError(f"column {self.name!r} of type {data_type.simpleString()} is no time column")
+
     def _bound(self, ms: int, data_type: T.DataType) -> Column:
-        if isinstance(data_type, T.LongType):
-            return F.lit(ms)
-        return F.timestamp_millis(F.lit(ms)).cast(data_type)
+        if isinstance(data_type, T.IntegralType):
+            return F.lit(ms).cast("long")
+        moment = F.timestamp_millis(F.lit(ms))
+        return moment.cast(data_type) if isinstance(data_type, T.TimestampNTZType) else moment
 
     def contains(self, data_type: T.DataType) -> Column:
         """The range as a condition on the bare column, so that it reaches the file scan."""
         if self.empty:
             return F.lit(False)
-        column = F.col(f"`{self.column}`")
+        column = self._place(data_type)
         return (column >= self._bound(self.start_ms, data_type)) & (column < self._bound(self.end_ms, data_type))
 
     def window_index(self, data_type: T.DataType) -> Column:
         """Which window a row inside the range belongs to, counted from 0."""
         if self.empty:
             return F.lit(0).cast("long")
-        column = F.col(f"`{self.column}`")
-        if isinstance(data_type, T.LongType):
+        column = self._place(data_type)
+        if isinstance(data_type, T.IntegralType):
             offset, step = column - F.lit(self.start_ms), self.step_ms
         else:
             offset = F.unix_micros(column.cast("timestamp")) - F.lit(self.start_ms * 1000)

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL: dict[str, str] = {}  # the folder of a local application that names none
+
+
 def build_session(
     cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **settings: str
 ) -> SparkSession:
@@ -37,6 +40,8 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="tidewell-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL:
+            _LOCAL[application] = tempfile.mkdtemp(prefix="tidewell-")
+        base = _LOCAL[application]
     return f"{base.rstrip('/')}/tidewell/{label}-{uuid.uuid4().hex[:12]}"

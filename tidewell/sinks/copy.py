@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from .. import fs
 from ..plans.time_range import TimeRange
 from .store import TableStore
 
@@ -16,8 +17,15 @@ def copy_slices(
     A window whose batch is committed is not read again; one that broke off is read again as a
     whole and replaces what it left. Returns the windows this call copied. A window is one
     Spark job, so choose the interval such that a window keeps the cluster busy. From a stored
-    table a window reads only the folders of its time.
+    table a window reads only the folders of its time. The bounds belong to the job: with others
+    its windows would overlap those it has copied, so that is an error.
     """
+    described = f"{target.path}/jobs/{job}.json"
+    plan = {"column": time_range.column, "start": time_range.start_ms, "end": time_range.end_ms, "step": time_range.step_ms}
+    if not fs.exists(target.spark, described):
+        fs.write_json(target.spark, described, plan)
+    elif fs.read_json(target.spark, described) != plan:
+        raise ValueError(f"copy {job!r} was begun with other bounds")
     copied = []
     for start, end in time_range.windows():
         batch = f"{job}-{start}-{end}"

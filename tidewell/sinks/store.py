@@ -1,8 +1,9 @@
 """Stored tables: parquet below one folder.
 
 ``log/_batch=<id>/period=/bucket=``
-    every write is one batch; its ``_SUCCESS`` file, which Spark writes last, makes it count.
-    Writing an id again replaces that batch, so a replayed write changes nothing.
+    every write is one batch; its ``_committed.json``, written last, makes it count. Writing an id
+    again replaces that batch, so a replayed write changes nothing. The rows carry the time of their
+    write, so that of two rows with an equal key and order the later one stays.
 ``base/gen=<n>/period=/bucket=``
     what compaction made of the log: one row per key. Its ``_folded.json``, written last,
     names the batches it holds and the periods it replaces in older generations.
@@ -14,6 +15,7 @@ log need that; the others are read from the base as they are, without a shuffle.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
@@ -26,6 +28,7 @@ from ..operators.binding import bind_rows
 from ..operators.collapse import collapse_rows
 
 MAX_ROWS_PER_FILE = 20_000_000
+WRITE = "_write"  # when the row was written; NULL in the base, which is older than the log
 SALTS = 8
 
 
@@ -58,12 +61,17 @@ class TableStore:
         by: str = "name",
         writers: int | None = None,
     ) -> None:
-        """Write rows as one batch. The same ``batch`` id again replaces what it wrote before."""
+        """Write rows as one batch. The same ``batch`` id again replaces what it wrote before; once
+        a compaction has taken it into the base, that is an error."""
         batch = batch or uuid.uuid4().hex
         if not re.fullmatch(r"[\w.-]+", batch):
             raise ValueError(f"a batch id has letters, digits, '_', '.' and '-' only, not {batch!r}")
-        rows = bind_rows(df, self.spec, fields, by)
-        self._write(rows, f"{self.path}/log/_batch={batch}", writers)
+        if self.folded(batch):
+            raise ValueError(f"batch {batch!r} is part of the base and can no longer be replaced")
+        rows = bind_rows(df, self.spec, fields, by).withColumn(WRITE, F.lit(time.time_ns()))
+        target = f"{self.path}/log/_batch={batch}"
+        self._write(rows, target, writers)
+        fs.write_json(self.spark, f"{target}/_committed.json", {})
 
     def _write(self, rows: DataFrame, target: str, writers: int | None = None) -> None:
         layout = self.spec.layout
@@ -88,11 +96,15 @@ class TableStore:
     # -- what there is -------------------------------------------------------------------
 
     def committed(self, batch: str) -> bool:
-        return fs.exists(self.spark, f"{self.path}/log/_batch={batch}/_SUCCESS") or batch in self._folded()
+        return fs.exists(self.spark, f"{self.path}/log/_batch={batch}/_committed.json") or self.folded(batch)
+
+    def folded(self, batch: str) -> bool:
+        """Whether a compaction has taken the batch into the base."""
+        return batch in self._folded()
 
     def batches(self) -> list[str]:
         """Ids of the batches in the log, folded or not."""
-        found = fs.glob(self.spark, f"{self.path}/log/_batch=*/_SUCCESS")
+        found = fs.glob(self.spark, f"{self.path}/log/_batch=*/_committed.json")
         return [p.split("/")[-2].removeprefix("_batch=") for p in found]
 
     def _generations(self) -> list[tuple[int, dict]]:
@@ -113,7 +125,8 @@ class TableStore:
     @property
     def _stored_schema(self) -> T.StructType:
         layout = [T.StructField("period", T.DateType()), T.StructField("bucket", T.IntegerType())]
-        return T.StructType([*self.spec.schema.fields, *(layout if self.spec.layout else [])])
+        written = T.StructField(WRITE, T.LongType())
+        return T.StructType([*self.spec.schema.fields, written, *(layout if self.spec.layout else [])])
 
     def _files(self, root: str, folders: Sequence[str]) -> DataFrame | None:
         if not folders:
@@ -168,13 +181,13 @@ class TableStore:
     def _restricted(self, rows: DataFrame | None, start, end, tables) -> DataFrame | None:
         if rows is None:
             return None
-        time = F.col(self.spec.time)
+        moment = F.col(self.spec.time)
         if start is not None:
-            rows = rows.where(time >= _instant(start))
+            rows = rows.where(moment >= _instant(start))
             if self.spec.layout:
                 rows = rows.where(F.col("period") >= period_of(_instant(start), self.spec.period))
         if end is not None:
-            rows = rows.where(time < _instant(end))
+            rows = rows.where(moment < _instant(end))
             if self.spec.layout:
                 rows = rows.where(F.col("period") <= period_of(_instant(end), self.spec.period))
         if tables is not None:
@@ -190,7 +203,11 @@ class TableStore:
         # Period and bucket are functions of the key: as part of it they change nothing, and
         # conditions on them still reach the scan. Fixed tags are functions of it by promise.
         key = [*self.spec.key, *self.spec.layout, *(self.spec.tags if self.spec.fixed_tags else [])]
-        return collapse_rows(rows, key, self.spec.order_by, self.spec.distinct_order)
+        if self.spec.distinct_order:
+            return collapse_rows(rows.drop(WRITE), key, self.spec.order_by, True).withColumn(
+                WRITE, F.lit(None).cast("long")
+            ).select(*rows.columns)
+        return collapse_rows(rows, key, [*self.spec.order_by, WRITE])
 
     def tags(self) -> DataFrame:
         """One row per sub-table: its name and its tags, as of its latest row.
@@ -202,7 +219,7 @@ class TableStore:
         rows = _union(self._files("base", list(base.values())), self._files("log", [f"_batch={b}" for b in log]))
         if rows is None:
             rows = self.spark.createDataFrame([], self._stored_schema)
-        latest = F.max(F.struct(self.spec.time, *self.spec.order_by, *self.spec.tags)).alias("_latest")
+        latest = F.max(F.struct(self.spec.time, *self.spec.order_by, WRITE, *self.spec.tags)).alias("_latest")
         return rows.groupBy(TBNAME).agg(latest).select(TBNAME, *[f"_latest.{t}" for t in self.spec.tags])
 
     # -- maintenance ---------------------------------------------------------------------
@@ -216,18 +233,29 @@ class TableStore:
         replaced = self._files("base", [f for period, f in base.items() if periods is None or period in touched])
         log = self._files("log", [f"_batch={b}" for b in fresh])
         rows = self._collapsed(_union(replaced, log)).select(*self.spec.schema.names)
-        generations = self._generations()
-        target = f"{self.path}/base/gen={generations[-1][0] + 1 if generations else 0}"
+        number = self._generations()[-1][0] + 1 if self._generations() else 0
+        while not fs.claim(self.spark, f"{self.path}/claims/{number}"):  # another compaction has it
+            number += 1
+        target = f"{self.path}/base/gen={number}"
         self._write(rows, target)
         fs.write_json(self.spark, f"{target}/_folded.json", {"batches": fresh, "periods": periods})
 
     def vacuum(self) -> None:
-        """Delete batches that the base holds. Streams must have read them, and no query may
-        still be running on them."""
+        """Delete batches that the base holds, and what newer generations of it replace. Streams
+        must have read the batches, and no query may still be running on any of it."""
         folded = self._folded()
         for batch in self.batches():
             if batch in folded:
                 fs.delete(self.spark, f"{self.path}/log/_batch={batch}")
+        generations = self._generations()
+        used = set(self._base_folders(generations).values())
+        for number, made in generations:
+            for period in made["periods"] or [None]:
+                folder = f"gen={number}" if period is None else f"gen={number}/period={period}"
+                if folder not in used:
+                    pattern = f"{self.path}/base/{folder}" + ("/part-*" if period is None else "")
+                    for path in fs.glob(self.spark, pattern):
+                        fs.delete(self.spark, path)
 
 
 def _union(left: DataFrame | None, right: DataFrame | None) -> DataFrame | None:

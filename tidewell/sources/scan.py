@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+import uuid
+from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,31 +13,39 @@ from ..operators.slices import read_tables, slice_by_tags, slice_by_time, top_pe
 from ..plans.request import ScanRequest
 
 
-@contextmanager
-def _visible(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
-    """The frames as views while a text is analysed; views of the caller come back after."""
-    hidden = {name: spark.table(name) for name in tables if _is_view(spark, name)}
-    try:
-        for name, df in tables.items():
-            spark.catalog.dropTempView(name)
-            df.createOrReplaceTempView(name)
-        yield
-    finally:
-        for name in tables:
-            spark.catalog.dropTempView(name)
-        for name, df in hidden.items():
-            df.createOrReplaceTempView(name)
+SLICE = "_slice"
+
+#: Literals and comments of SQL; what is between them is code.
+_QUOTED = re.compile(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/)""", re.S)
+
+
+def split_sql(sql: str) -> list[tuple[str, bool]]:
+    """The text in parts, each with whether it is code."""
+    return [(part, i % 2 == 0) for i, part in enumerate(_QUOTED.split(sql))]
 
 
-def _is_view(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+def names(code: str, name: str) -> bool:
+    """Whether the name stands in the code as a word."""
+    return re.search(rf"(?<!\w){re.escape(name)}(?!\w)", code) is not None
 
 
 def run_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One query as one lazy frame; ``tables`` are the names it may use."""
-    words = set(re.findall(r"\w+", sql))
-    with _visible(spark, {name: df for name, df in tables.items() if name in words}):
-        return spark.sql(sql)
+    """One query as one lazy frame; ``tables`` are the names it may use.
+
+    The frames are seen under names of this call alone, which the query's own names refer to, so
+    views of the session and other threads are not touched.
+    """
+    code = " ".join(part for part, is_code in split_sql(sql) if is_code)
+    views = {name: f"_tidewell_{uuid.uuid4().hex}" for name in tables if names(code, name)}
+    try:
+        for name, view in views.items():
+            tables[name].createOrReplaceTempView(view)
+        listed = ", ".join(f"`{name}` AS (SELECT * FROM `{view}`)" for name, view in views.items())
+        text = sql.strip().rstrip(";")
+        return spark.sql(f"WITH {listed} SELECT * FROM (\n{text}\n)" if views else sql)
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def scan(spark: SparkSession, request: ScanRequest, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -52,6 +61,12 @@ def scan(spark: SparkSession, request: ScanRequest, tables: Mapping[str, DataFra
         if request.limit is not None:
             rows = top_per_table(rows, request.limit, request.order_by or ("ts",))
         return run_sql(spark, f"select {request.select} from `{request.table}`", {request.table: rows})
+    if request.time is not None and not request.sql and request.limit is None and not request.order_by:
+        # the range may be on a column that the query does not return
+        sliced = slice_by_time(tables[request.table], request.time, SLICE)
+        text = replace(request, select=f"{request.select}, `{SLICE}` AS slice").sql_text()
+        rows = run_sql(spark, text, {request.table: sliced})
+        return rows.drop(SLICE)
     rows = run_sql(spark, request.sql_text(), tables)
     if request.time is not None:
         return slice_by_time(rows, request.time)
