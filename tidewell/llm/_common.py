@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_KEPT: list[tuple] = []
+
+
+def kept_in_process(key: tuple, make):
+    """What ``make`` yields, kept for later tasks of this worker process. A process keeps one thing at
+    a time, so that the models of different operators do not add up in an executor's memory."""
+    if not _KEPT or _KEPT[0][0] != key:
+        _KEPT.clear()
+        gc.collect()
+        _KEPT.append((key, make()))
+    return _KEPT[0][1]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ._common import whole_text
+from ._common import kept_in_process, whole_text
 
 UNKNOWN = "und"
 #: Documents per language that are fitted on, and characters of text per language.
-SAMPLE_DOCS, SAMPLE_CHARS = 128, 60_000
+SAMPLE_DOCS, SAMPLE_CHARS = 128, 40_000
 #: Words whose counts a worker remembers, and the longest word that is remembered.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 #: The most frequent languages are learned, so many at most.
 MOST_LANGUAGES = 64
 
@@ -130,16 +130,10 @@ class CrossParser:
         return self.languages[best], min(1.0, max(0.0, 1.0 - float(bits[best]) / second))
 
 
-_PARSERS: dict[str, CrossParser] = {}
-
-
 def _parser(references: dict[str, str]) -> CrossParser:
     """One parser per worker process; tasks of one model share it."""
     key = hashlib.sha256(repr(sorted(references.items())).encode()).hexdigest()
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(references)
-    return _PARSERS[key]
+    return kept_in_process(("languages", key), lambda: CrossParser(references))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -15,13 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._common import LOWER, UPPER, stored, whole_text
+from ._common import LOWER, UPPER, kept_in_process, stored, whole_text
 
 SEQUENCE = 2048
 #: Sequences a task holds open, and pieces that it takes on average, 24 bytes each.
 OPEN, PIECES_PER_TASK = 16_384, 20_000
 #: Parts, and words, whose ids a worker remembers; when full it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Texts that are tokenized together.
 TEXTS_AT_ONCE = 256
 #: Closing marks of a part: ASCII signs that the tokenizer keeps apart from letters. A quote is not
@@ -97,15 +97,10 @@ class WordIds:
         return {part: np.array(x.ids, "<u4").tobytes() for part, x in zip(parts, found)}
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def _encoder(tokenizer_file: str) -> WordIds:
     """One encoder per worker process; its tasks share what it remembers."""
-    if tokenizer_file not in _ENCODERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
-        _ENCODERS[tokenizer_file] = WordIds(tokenizer_file)
-    return _ENCODERS[tokenizer_file]
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
+    return kept_in_process(("ids", tokenizer_file), lambda: WordIds(tokenizer_file))
 
 
 def _tokenize(tokenizer_file: str, size: int):
