@@ -228,7 +228,7 @@ _RANGE = np.dtype([("doc", "<i8"), ("tag", "<u4"), ("begin", "<i8"), ("end", "<i
 def _pack_contexts(entries: list[tuple], texts: list[bytes]) -> bytes:
     head = np.array(entries, _ENTRY)
     plain = len(head).to_bytes(8, "little") + head.tobytes() + b"".join(texts)
-    return zstandard.ZstdCompressor(level=3).compress(plain)
+    return zstandard.ZstdCompressor(level=6).compress(plain)
 
 
 def _unpack_contexts(data: bytes) -> tuple[np.ndarray, list[bytes]]:
@@ -492,7 +492,7 @@ def remove_repeats(
     tagged = rows.select(
         _group_column(F.col("id"), groups).alias("grp"), "id", F.crc32("text").cast("long").alias("tag"), "text"
     )
-    contexts = tagged.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send(buckets), _CONTEXTS)
+    contexts = tagged.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send(max(1, buckets // 4)), _CONTEXTS)
     ranges = contexts.groupBy("bucket").applyInArrow(lambda table: _settle(table, groups), "grp int, ranges binary")
     result = _RESULT + (", kept binary" if with_text else "")
     return tagged.groupBy("grp").cogroup(ranges.groupBy("grp")).applyInArrow(_remove(with_text), result)
