@@ -555,6 +555,8 @@ def copy_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     except Exception as error:  # the injected failure only
         if "injected failure" not in str(error):
             raise
+    else:
+        raise RuntimeError("the copy was to break off")
     copy_slices(source, bounds, table, "copy")
     return _local(table.read())
 
@@ -636,6 +638,8 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     except Exception as error:  # the injected failure only
         if "injected failure" not in str(error):
             raise
+    else:
+        raise RuntimeError("the stream was to crash")
     run_into_table(topic.read(group, "earliest"), target, group.checkpoint)
     return _local(target.read())
 

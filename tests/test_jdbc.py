@@ -7,7 +7,7 @@ import pytest
 
 from tidewell import ScanRequest, TimeRange, open_sink, open_table
 from tidewell.sinks import write_jdbc
-from tidewell.sources import read_jdbc
+from tidewell.sources import read_jdbc, scan_jdbc
 
 URL = "jdbc:some://host:6041/power"
 
@@ -60,7 +60,22 @@ def test_a_database_target_binds_by_position():
     }
     open_sink(MagicMock(), options, ["ts", "`Aateat`"]).insert(rows)
     rows.toDF.assert_called_once_with("ts", "Aateat")
-    rows.toDF.return_value.select.assert_called_once_with("ts", "Aateat")
+    rows.toDF.return_value.select.assert_called_once_with("`ts`", "`Aateat`")
     rows.toDF.return_value.select.return_value.repartition.assert_called_once_with(3)
     with pytest.raises(ValueError, match="2 fields, but 1 columns"):
         open_sink(MagicMock(), options, ["ts"]).insert(rows)
+
+
+def test_sub_tables_are_slices_of_a_database():
+    spark = MagicMock()
+    request = ScanRequest(select="ts, voltage", table="meters", where="voltage > 3", tables=("d1", "o'k"))
+    scan_jdbc(spark, URL, request, {"user": "u"})
+    (_, table), named = spark.read.jdbc.call_args
+    assert table == "(select tbname, ts, voltage from meters where voltage > 3) q"
+    assert named["predicates"] == ["tbname = 'd1'", "tbname = 'o''k'"]
+
+
+def test_tag_predicates_are_slices_of_a_database():
+    spark = MagicMock()
+    scan_jdbc(spark, URL, ScanRequest(sql="select * from meters", tags=("groupid = 1", "groupid = 2")))
+    assert spark.read.jdbc.call_args.kwargs["predicates"] == ["groupid = 1", "groupid = 2"]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tidewell import open_sink, open_table
+from tidewell import open_sink, open_table, tables
 from tidewell.operators import pack_rows
 from tidewell.streaming import run_into_table, stream_into_table
 
@@ -193,3 +193,43 @@ def test_the_poll_interval_of_the_source_paces_the_stream(lake, topic, target, s
         assert meters.total(target.read()) == 1221 * 3
     finally:
         query.stop()
+
+
+def test_a_stream_into_a_database_sends_each_micro_batch(lake, topic, spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(tables, "write_jdbc", lambda rows, *settings: sent.append((rows.count(), *settings)))
+    options = stream_options(lake)
+    target = {
+        "td.jdbc.url": "jdbc:some://host:6041/power", "sink.db.name": "power", "sink.supertable.name": "m",
+        "sink.batch.size": "20", "sink.parallelism": "3",
+    }
+    open_sink(spark, target).insert_stream(open_table(spark, options), options).awaitTermination()
+    assert [(n, table, rows, writers) for n, _, table, rows, writers, _ in sent] == [
+        (meters.frame(spark, copies=True).count(), "power.m", 20, 3)
+    ]
+
+
+def test_the_parallelism_of_a_sink_holds_for_streams(lake, topic, target, spark, monkeypatch):
+    asked = []
+    append = type(target).append
+    monkeypatch.setattr(
+        type(target), "append", lambda self, rows, **named: (asked.append(named["writers"]), append(self, rows, **named))
+    )
+    options = stream_options(lake)
+    sink = open_sink(spark, sink_options(lake, **{"sink.parallelism": "2"}))
+    sink.insert_stream(open_table(spark, options), options).awaitTermination()
+    assert asked == [2]
+    assert meters.total(target.read()) == 1221 * 3
+
+
+def test_a_write_that_breaks_off_is_seen_by_no_stream(topic, source, target, spark):
+    rows = meters.frame(spark).withColumn("ts", F.col("ts") + F.expr("interval 1 day"))
+    broken = rows.withColumn(
+        "voltage", F.when(F.col("groupid") == 1, F.raise_error(F.lit("injected")).cast("int")).otherwise(F.col("voltage"))
+    )
+    with pytest.raises(Exception, match="injected"):
+        source.append(broken, batch="broken")
+    group = topic.group("g")
+    run_into_table(topic.read(group, "earliest"), target, group.checkpoint)
+    assert sorted(target.read().collect()) == sorted(source.read().collect())
+    assert source.batches() == ["history"]

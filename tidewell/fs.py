@@ -35,6 +35,16 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another; readers that list folders see it as a whole."""
+    file_system, hadoop_path = _resolve(spark, source)
+    _, place = _resolve(spark, target)
+    file_system.delete(place, True)
+    file_system.mkdirs(place.getParent())
+    if not file_system.rename(hadoop_path, place):
+        raise OSError(f"{source} can't be moved to {target}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _resolve(spark, path)
     file_system.mkdirs(hadoop_path)

@@ -51,4 +51,7 @@ class ScanRequest:
             return self.time.predicates()
         if self.tags is not None:
             return list(self.tags)
+        if self.tables is not None:
+            # a quote in a name is doubled, as in any SQL text
+            return ["tbname = '" + name.replace("'", "''") + "'" for name in self.tables]
         return None

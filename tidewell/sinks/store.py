@@ -1,9 +1,11 @@
 """Stored tables: parquet below one folder.
 
 ``log/_batch=<id>/period=/bucket=``
-    every write is one batch; its ``_committed.json``, written last, makes it count. Writing an id
-    again replaces that batch, so a replayed write changes nothing. The rows carry the time of their
-    write, so that of two rows with an equal key and order the later one stays.
+    every write is one batch; its ``_committed.json`` makes it count. A batch is written below
+    ``staged/`` and moved here when it is whole, so that streams over the log see no part of a write
+    that breaks off. Writing an id again replaces that batch, so a replayed write changes nothing. The
+    rows carry the time of their write, so that of two rows with an equal key and order the later
+    one stays.
 ``base/gen=<n>/period=/bucket=``
     what compaction made of the log: one row per key. Its ``_folded.json``, written last,
     names the batches it holds and the periods it replaces in older generations.
@@ -26,6 +28,7 @@ from .. import fs
 from ..model import TBNAME, TableSpec, bucket_of, period_of
 from ..operators.binding import bind_rows
 from ..operators.collapse import collapse_rows
+from ..operators.slices import read_tables
 
 MAX_ROWS_PER_FILE = 20_000_000
 WRITE = "_write"  # when the row was written; NULL in the base, which is older than the log
@@ -69,9 +72,10 @@ class TableStore:
         if self.folded(batch):
             raise ValueError(f"batch {batch!r} is part of the base and can no longer be replaced")
         rows = bind_rows(df, self.spec, fields, by).withColumn(WRITE, F.lit(time.time_ns()))
-        target = f"{self.path}/log/_batch={batch}"
-        self._write(rows, target, writers)
-        fs.write_json(self.spark, f"{target}/_committed.json", {})
+        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
+        self._write(rows, staged, writers)
+        fs.write_json(self.spark, f"{staged}/_committed.json", {})
+        fs.move(self.spark, staged, f"{self.path}/log/_batch={batch}")
 
     def _write(self, rows: DataFrame, target: str, writers: int | None = None) -> None:
         layout = self.spec.layout
@@ -192,11 +196,17 @@ class TableStore:
                 rows = rows.where(F.col("period") <= period_of(_instant(end), self.spec.period))
         if tables is not None:
             names = list(dict.fromkeys(tables))
-            rows = rows.where(F.col(TBNAME).isin(names))
             if self.spec.layout:
-                rows = rows.where(F.col("bucket").isin([bucket_of(F.lit(n), self.spec.buckets) for n in names]))
+                rows = rows.where(F.col("bucket").isin(self._buckets_of(names)))
+            rows = read_tables(rows, names)
         return rows
 
+    def _buckets_of(self, names: Sequence[str]) -> list[int]:
+        """The buckets of a list of sub-tables, worked out in one expression over the list."""
+        listed = self.spark.createDataFrame([(list(names),)], f"`{TBNAME}` array<string>")
+        buckets = F.array_distinct(F.transform(TBNAME, lambda n: bucket_of(n, self.spec.buckets)))
+        return sorted(listed.select(buckets).first()[0])
+
     def _collapsed(self, rows: DataFrame | None) -> DataFrame | None:
         if rows is None or not self.spec.key:
             return rows

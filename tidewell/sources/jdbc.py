@@ -6,6 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..model import TBNAME
+from ..operators.slices import top_per_table
+from ..plans.request import ScanRequest
+
 
 def read_jdbc(
     spark: SparkSession,
@@ -27,3 +31,25 @@ def read_jdbc(
         return reader.option("query", f"select * from ({query}) q where 1 = 0").load()
     settings = {**dict(options or {}), "fetchsize": str(fetch_rows)}
     return spark.read.jdbc(url, f"({query}) q", predicates=list(predicates), properties=settings)
+
+
+def scan_jdbc(
+    spark: SparkSession, url: str, request: ScanRequest, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The rows a request asks for, from a database that cuts them into the request's slices.
+
+    Every slice is one partition: a window, a tag predicate or a sub-table, so a row that matches
+    two predicates comes twice. With a list of sub-tables ``order_by`` and ``limit`` hold for each of
+    them, on the columns of the request and the sub-table name.
+    """
+    if request.tables is None:
+        return read_jdbc(spark, url, request.sql_text(), request.predicates(), options)
+    query = f"select {TBNAME}, {request.select} from {request.table}" if request.select != "*" else (
+        f"select * from {request.table}"
+    )
+    if request.where:
+        query += f" where {request.where}"
+    rows = read_jdbc(spark, url, query, request.predicates(), options)
+    if request.limit is not None:
+        rows = top_per_table(rows, request.limit, request.order_by or ("ts",))
+    return rows if request.select == "*" else rows.drop(TBNAME)

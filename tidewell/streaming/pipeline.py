@@ -21,6 +21,7 @@ def stream_into_table(
     poll_ms: int | None = None,
     output_mode: str = "append",
     after_write: Callable[[int], None] | None = None,
+    writers: int | None = None,
 ) -> StreamingQuery:
     """Start a stream that writes each micro-batch as one batch of the table.
 
@@ -31,23 +32,33 @@ def stream_into_table(
 
     ``packed`` names a column of row batches to unpack. With ``poll_ms`` the stream runs until
     it is stopped; without, it reads what is there and ends. ``after_write`` is called between
-    the write and the record of progress.
+    the write and the record of progress. ``writers`` is the number of tasks that write a micro-batch.
     """
-    if not stream.isStreaming:
-        raise ValueError("the rows are not a stream; write them with TableStore.append")
-    if output_mode != "append":
-        raise ValueError(f"a table takes appended rows only, not output mode {output_mode!r}")
-
     def write(rows: DataFrame, number: int) -> None:
         stream_id = fs.read_json(table.spark, f"{checkpoint}/metadata")["id"]
         if packed is not None:
             rows = unpack_rows(rows, packed)
         batch = f"{stream_id}-{number}"
         if not table.folded(batch):  # else a replay of what a compaction has taken already
-            table.append(rows, batch=batch, fields=fields)
+            table.append(rows, batch=batch, fields=fields, writers=writers)
         if after_write is not None:
             after_write(number)
 
+    return start_stream(stream, write, checkpoint, poll_ms, output_mode)
+
+
+def start_stream(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    poll_ms: int | None = None,
+    output_mode: str = "append",
+) -> StreamingQuery:
+    """Start a stream that hands each micro-batch of appended rows to ``write``."""
+    if not stream.isStreaming:
+        raise ValueError("the rows are not a stream; write them with TableStore.append")
+    if output_mode != "append":
+        raise ValueError(f"a table takes appended rows only, not output mode {output_mode!r}")
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if poll_ms is None else writer.trigger(
         processingTime=f"{poll_ms} milliseconds"

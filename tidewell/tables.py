@@ -25,7 +25,7 @@ from .plans.options import TableOptions
 from .sinks.jdbc import write_jdbc
 from .sinks.store import TableStore
 from .sources.jdbc import read_jdbc
-from .streaming.pipeline import stream_into_table
+from .streaming.pipeline import start_stream, stream_into_table
 from .streaming.topics import ConsumerGroup
 
 
@@ -126,17 +126,22 @@ class TableSink:
         if self.options.flag("td.batch.mode"):
             rows = unpack_rows(rows, ELEMENT)
         if self.convert is not None:
+            if _is_jdbc(self.options.get("td.jdbc.url")):
+                raise ValueError("converted rows need a table of a lake, which declares their types")
             bound = resolve_fields(self.store.spec, self.fields)
             rows = map_records(rows, self.convert, T.StructType(bound))
         return rows
 
     def insert(self, rows: DataFrame, by: str = "position") -> None:
         """``INSERT INTO``: the columns of ``rows`` meet the bound columns by position or by name."""
-        url, writers = self.options.get("td.jdbc.url"), self.options.number("sink.parallelism")
         rows = self._prepared(rows)
-        if not _is_jdbc(url):
-            self.store.append(rows, fields=self.fields, by=by, writers=writers)
-            return
+        if _is_jdbc(self.options.get("td.jdbc.url")):
+            self._send(rows, by)
+        else:
+            self.store.append(rows, fields=self.fields, by=by, writers=self.options.number("sink.parallelism"))
+
+    def _send(self, rows: DataFrame, by: str) -> None:
+        """Into the external database; ``sink.batch.size`` rows go in one round trip."""
         names = [trim_backticks(f) for f in self.fields or rows.columns]
         if by == "position":
             if len(rows.columns) != len(names):
@@ -144,7 +149,14 @@ class TableSink:
             rows = rows.toDF(*names)
         table = f"{self.options.get('sink.db.name')}.{self.options.sink_table}"
         batch_rows = self.options.number("sink.batch.size")
-        write_jdbc(rows.select(*names), url, table, batch_rows, writers, self.options.connection)
+        write_jdbc(
+            rows.select(*[f"`{n}`" for n in names]),
+            self.options.get("td.jdbc.url"),
+            table,
+            batch_rows,
+            self.options.number("sink.parallelism"),
+            self.options.connection,
+        )
 
     def insert_stream(
         self,
@@ -157,16 +169,21 @@ class TableSink:
 
         ``source`` are the options of the stream table the rows come from: its group keeps the
         progress, and its poll interval is the pace of a stream that runs until it is stopped.
-        Otherwise the stream ends when it has read what is there.
+        Otherwise the stream ends when it has read what is there. An external database gets the rows
+        at least once; its row key collapses those that are sent again.
         """
         poll_ms = TableOptions(source).number("poll.interval_ms") if until_stopped else None
+        rows, checkpoint = self._prepared(rows), consumer_group(self.spark, source).checkpoint
+        if _is_jdbc(self.options.get("td.jdbc.url")):
+            return start_stream(rows, lambda part, _: self._send(part, "name"), checkpoint, poll_ms, output_mode)
         return stream_into_table(
-            self._prepared(rows),
+            rows,
             self.store,
-            consumer_group(self.spark, source).checkpoint,
+            checkpoint,
             self.fields,
             poll_ms=poll_ms,
             output_mode=output_mode,
+            writers=self.options.number("sink.parallelism"),
         )
 
 
