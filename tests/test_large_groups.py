@@ -40,11 +40,10 @@ def expected_numbers(rows, descending):
 
 @pytest.mark.parametrize("piece_rows", [100, 1_000_000])
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("known", [100_000, 0])
-def test_numbers_match_a_plain_sort(spark, rows, piece_rows, descending, known, monkeypatch):
-    monkeypatch.setattr(numbering, "KNOWN_GROUPS", known)
+@pytest.mark.parametrize("sent", [True, False])
+def test_numbers_match_a_plain_sort(spark, rows, piece_rows, descending, sent):
     order = ["ts desc", "event_id desc"] if descending else ["ts", "event_id"]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB" if known else "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB" if sent else "-1")
     try:
         numbered = number_rows(rows, ["tbname"], order, "n", piece_rows=piece_rows).collect()
     finally:
@@ -78,6 +77,32 @@ def test_the_large_group_is_spread_when_numbered(spark, rows):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_pieces_do_not_depend_on_how_the_rows_are_spread(spark):
+    """One wrong clock, a burst, and more pieces than are looked up at a time."""
+    at = F.when(F.col("id") == 0, F.lit(0)).when(F.col("id") < 15_000, F.lit(10**9)).otherwise(F.col("id") + 10**9)
+    df = spark.range(0, 20_000, 1, 4).select(F.lit("a").alias("g"), at.alias("at"), "id")
+    for piece_rows, most in ((1000, 2000), (20, 20)):
+        bounds = numbering._bounds(df, ["g"], numbering._place(["at", "id"]), piece_rows)
+        sizes = [r["count"] for r in numbering._cut(df, ["g"], bounds, ["at", "id"]).groupBy("_piece").count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= most
+    numbered = number_rows(df, ["g"], ["at", "id"], "n", piece_rows=20)
+    assert numbered.where("n <> id + 1").isEmpty() and numbered.count() == 20_000
+
+
+@pytest.mark.parametrize("order", [["s"], ["`s` desc", "id"], ["id desc"]])
+def test_any_order_on_both_sides_of_the_limit(spark, order):
+    df = spark.range(0, 3000, 1, 4).select(
+        F.lit("a").alias("tbname"), F.concat(F.lit("s"), F.lpad((F.col("id") * 7 % 3000).cast("string"), 5, "0")).alias("s"), "id"
+    )
+    for limit in (1000, 1001):
+        top = {r["id"] for r in top_per_table(df, limit, order).collect()}
+        words = order[0].replace("`", "").split()
+        expected = sorted(df.collect(), key=lambda r: r[words[0]], reverse="desc" in words)[:limit]
+        assert top == {r["id"] for r in expected}
+        pieces = number_rows(df, ["tbname"], order, "n", up_to=limit, piece_rows=200)
+        assert {r["id"] for r in pieces.collect()} == top
+
+
 @pytest.mark.parametrize("bound", [100_000, 0])
 def test_a_list_that_is_data(spark, rows, monkeypatch, bound):
     monkeypatch.setattr(slices, "LISTED_NAMES", bound)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..model import TBNAME
 from ..plans.time_range import TimeRange
-from .numbering import can_cut, number_rows, sort_columns
+from .numbering import number_rows, sort_columns
 
 # Up to here a list of names is a plain IN condition, which the file scan can use.
 IN_LIST_NAMES = 1_000
@@ -101,10 +101,9 @@ def top_per_table(df: DataFrame, limit: int, order_by: Sequence[str], name: str
 
     Small limits cut every sub-table before the shuffle (the plan shows a partial group
     limit). For large ones the rows are numbered piece by piece, and pieces past the limit are
-    dropped before they are sorted; that takes a time or a number as the first order column, and
-    other orders sort each sub-table as a whole.
+    dropped before they are sorted. Both ways take any order.
     """
-    if limit <= GROUP_LIMIT_ROWS or not can_cut(df, order_by):
+    if limit <= GROUP_LIMIT_ROWS:
         window = Window.partitionBy(name).orderBy(*sort_columns(order_by))
         return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).drop("_rank")
     return number_rows(df, [name], order_by, out="_rank", up_to=limit).drop("_rank")
