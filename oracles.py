@@ -233,10 +233,15 @@ ORACLES: dict[str, str] = {
     "stream_collapse": _HOURLY,
     "stream_from_position": _m(f"SELECT {_METERS} FROM K WHERE ts >= TIMESTAMP '2024-01-12'"),
     "stream_resume": _STORED,
-    "vgroup_positions": """
-        SELECT CAST(user_id % 5 AS INTEGER) AS vgroup, MAX(event_id) AS position, COUNT(*) AS row_count
-        FROM events GROUP BY 1
-    """,
+    "vgroup_positions": _m(
+        """
+        , P AS (SELECT *, ts >= TIMESTAMP '2024-01-12' AS news FROM M),
+        Q AS (SELECT *, bool_or(news) OVER (PARTITION BY tbname) AS at_end FROM P)
+        SELECT tbname, CAST(1 AS BIGINT) AS vgroups, COUNT(*) AS row_count,
+               MAX(event_id) FILTER (news = at_end) AS last_id, bool_or(news) AS at_end
+        FROM Q GROUP BY tbname
+        """
+    ),
     "open_table": _m(f"SELECT {_TAGGED} FROM K WHERE current > 90"),
     "open_table_stream": _STORED,
 }

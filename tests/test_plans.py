@@ -4,6 +4,7 @@ import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tidewell import ScanRequest, TimeRange
@@ -81,6 +82,18 @@ def test_key_conditions_above_a_table_reach_the_scan(table):
     assert "EqualTo(tbname,d1001)" in text and "GreaterThanOrEqual(ts,2024-12-19 18:00:00.0)" in text
 
 
+def test_periods_of_one_batch_are_read_without_a_shuffle(table, spark):
+    assert "Exchange" not in plan(table.read())
+    later = meters.frame(spark).withColumn("ts", F.col("ts") + F.expr("interval 2 days"))
+    table.append(later)
+    assert "Exchange" not in plan(table.read()) and table.read().count() == 36
+    table.append(later.withColumn("voltage", F.lit(1)))
+    text = plan(table.read())
+    collapsed = text[text.index("Exchange") :]
+    assert text.count("FileScan") == 2 and collapsed.count("FileScan") == 1
+    assert table.read().where("voltage = 1").count() == 18 and table.read().count() == 36
+
+
 def test_a_compacted_table_is_read_without_a_shuffle(table):
     table.compact()
     text = plan(table.read())

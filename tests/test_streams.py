@@ -3,7 +3,7 @@ from pyspark.sql import functions as F, types as T
 
 from tidewell import open_sink, open_table, tables
 from tidewell.operators import pack_rows
-from tidewell.streaming import run_into_table, stream_into_table
+from tidewell.streaming import positions, run_into_table, stream_into_table
 
 from . import meters
 
@@ -91,6 +91,24 @@ def test_a_topic_is_a_stored_select(lake, source, spark):
     assert spark.table("hot_rows").agg(F.sum("doubled")).first()[0] == 203 * 3 * 2
 
 
+def test_positions_of_a_topic(topic, source, spark, tmp_path):
+    """Writes read at different times: later ones stand later, in one vgroup per sub-table."""
+    group = topic.group("g")
+    last, total = 0, 0
+    for written in (meters.frame(spark, copies=True).count(), 18):
+        stream = topic.read(group, "earliest", with_positions=True)
+        assert stream.columns == [*meters.NAMES, "vgroup", "position"]
+        out = stream.writeStream.format("parquet").option("checkpointLocation", group.checkpoint)
+        out.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+        read = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out")
+        total += written
+        assert positions(read).agg(F.sum("row_count")).first()[0] == total
+        assert read.where(F.col("position") > last).count() == written
+        assert read.groupBy("tbname").agg(F.count_distinct("vgroup").alias("n")).where("n > 1").isEmpty()
+        last = positions(read).agg(F.max("position")).first()[0]
+        source.append(meters.frame(spark))
+
+
 def test_elements_that_are_batches(topic, target):
     group = topic.group("g")
     packed = pack_rows(topic.read(group, "earliest"), 5)

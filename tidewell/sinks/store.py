@@ -5,13 +5,14 @@
     ``staged/`` and moved here when it is whole, so that streams over the log see no part of a write
     that breaks off. Writing an id again replaces that batch, so a replayed write changes nothing. The
     rows carry the time of their write, so that of two rows with an equal key and order the later
-    one stays.
+    one stays. An empty ``_distinct`` beside the commit says that no key comes twice in the batch.
 ``base/gen=<n>/period=/bucket=``
     what compaction made of the log: one row per key. Its ``_folded.json``, written last,
     names the batches it holds and the periods it replaces in older generations.
 
-Rows with an equal key collapse when the table is read. Only periods that have rows in the
-log need that; the others are read from the base as they are, without a shuffle.
+Rows with an equal key collapse when the table is read. Periods in the base alone, or in a single
+batch without repeated keys, don't need that and are read as they are, without a shuffle. Topics
+see every row that was written.
 """
 
 from __future__ import annotations
@@ -74,9 +75,16 @@ class TableStore:
         rows = bind_rows(df, self.spec, fields, by).withColumn(WRITE, F.lit(time.time_ns()))
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
         self._write(rows, staged, writers)
+        if self.spec.key and self._has_distinct_keys(staged):
+            fs.claim(self.spark, f"{staged}/_distinct")
         fs.write_json(self.spark, f"{staged}/_committed.json", {})
         fs.move(self.spark, staged, f"{self.path}/log/_batch={batch}")
 
+    def _has_distinct_keys(self, staged: str) -> bool:
+        """Found out once for each write, from the key columns only, so that no read has to."""
+        keys = self.spark.read.schema(self._stored_schema).parquet(staged).groupBy(*self.spec.key).count()
+        return keys.where(F.col("count") > 1).isEmpty()
+
     def _write(self, rows: DataFrame, target: str, writers: int | None = None) -> None:
         layout = self.spec.layout
         if layout:
@@ -119,10 +127,25 @@ class TableStore:
     def _folded(self) -> set[str]:
         return {batch for _, made in self._generations() for batch in made["batches"]}
 
+    def _by_period(self, batches: Sequence[str]) -> dict[str, list[str]]:
+        """The batches of the log that have rows of a period, by period; one period without a layout."""
+        if not self.spec.layout:
+            return {"": list(batches)} if batches else {}
+        wanted = {f"_batch={batch}": batch for batch in batches}
+        periods: dict[str, list[str]] = {}
+        for path in fs.glob(self.spark, f"{self.path}/log/_batch=*/period=*"):
+            batch, period = path.split("/")[-2:]
+            if batch in wanted:
+                periods.setdefault(period.removeprefix("period="), []).append(wanted[batch])
+        return periods
+
     def _periods_of(self, batches: Sequence[str]) -> list[str]:
-        found = (p.split("/")[-2:] for p in fs.glob(self.spark, f"{self.path}/log/_batch=*/period=*"))
-        wanted = {f"_batch={batch}" for batch in batches}
-        return sorted({period.removeprefix("period=") for batch, period in found if batch in wanted})
+        return sorted(self._by_period(batches))
+
+    def _distinct(self) -> set[str]:
+        """The batches of the log in which no key comes twice."""
+        found = fs.glob(self.spark, f"{self.path}/log/_batch=*/_distinct")
+        return {p.split("/")[-2].removeprefix("_batch=") for p in found}
 
     # -- read ----------------------------------------------------------------------------
 
@@ -161,26 +184,49 @@ class TableStore:
         conditions on ``period`` and ``bucket`` leave out whole folders. Conditions on other columns
         belong on the result: they must not see rows that a later one has replaced.
         """
-        base, log, touched = self._current()
-        rows = self._files("base", [f for period, f in base.items() if period not in touched])
-        rewritten = self._files("base", [f for period, f in base.items() if period in touched])
-        fresh = self._files("log", [f"_batch={b}" for b in log])
-        collapsed = self._collapsed(self._restricted(_union(rewritten, fresh), start, end, tables))
+        base, log, periods = self._current()
+        whole = [f for period, f in base.items() if period not in periods]
+        rewritten = [f for period, f in base.items() if period in periods]
+        distinct = self._distinct()
+        single = {
+            p
+            for p, among in periods.items()
+            # without a key no row replaces another
+            if not self.spec.key or (len(among) == 1 and among[0] in distinct and p not in base)
+        }
+        alone = self._log_folders(log, periods, single)
+        mixed = self._log_folders(log, periods, periods.keys() - single)
+        collapsed = _union(self._files("base", rewritten), self._files("log", mixed))
+        collapsed = self._collapsed(self._restricted(collapsed, start, end, tables))
+        rows = _union(self._files("base", whole), self._files("log", alone))
         rows = _union(self._restricted(rows, start, end, tables), collapsed)
         if rows is None:
             rows = self.spark.createDataFrame([], self._stored_schema)
         return rows.select(*self.spec.schema.names)
 
-    def _current(self) -> tuple[dict[str, str], list[str], set[str]]:
-        """Base folders by period, log batches not yet folded, and the periods those touch."""
+    def _current(self) -> tuple[dict[str, str], list[str], dict[str, list[str]]]:
+        """Base folders by period, log batches not yet folded, and those by the periods they touch."""
         generations = self._generations()
         folded = {batch for _, made in generations for batch in made["batches"]}
         fresh = [b for b in self.batches() if b not in folded]
-        if self.spec.layout:
-            touched = set(self._periods_of(fresh))
-        else:
-            touched = {""} if fresh and self.spec.key else set()
-        return self._base_folders(generations), fresh, touched
+        return self._base_folders(generations), fresh, self._by_period(fresh)
+
+    def _log_folders(self, log: Sequence[str], periods: dict[str, list[str]], wanted) -> list[str]:
+        """The folders of the wanted periods: one for a batch that has no others."""
+        if not self.spec.layout:
+            return [f"_batch={b}" for b in log] if wanted else []
+        of_batch: dict[str, list[str]] = {b: [] for b in log}
+        for period, among in periods.items():
+            for batch in among:
+                of_batch[batch].append(period)
+        folders = []
+        for batch, touched in of_batch.items():
+            chosen = [p for p in touched if p in wanted]
+            if len(chosen) < len(touched):
+                folders += [f"_batch={batch}/period={p}" for p in chosen]
+            elif chosen:
+                folders.append(f"_batch={batch}")
+        return folders
 
     def _restricted(self, rows: DataFrame | None, start, end, tables) -> DataFrame | None:
         if rows is None:
@@ -240,7 +286,7 @@ class TableStore:
         if not fresh:
             return
         periods = sorted(touched) if self.spec.layout else None
-        replaced = self._files("base", [f for period, f in base.items() if periods is None or period in touched])
+        replaced = self._files("base", [f for period, f in base.items() if period in touched])
         log = self._files("log", [f"_batch={b}" for b in fresh])
         rows = self._collapsed(_union(replaced, log)).select(*self.spec.schema.names)
         number = self._generations()[-1][0] + 1 if self._generations() else 0

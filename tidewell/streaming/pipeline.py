@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import fs
@@ -71,8 +71,6 @@ def run_into_table(stream: DataFrame, table: TableStore, checkpoint: str, **sett
     stream_into_table(stream, table, checkpoint, **settings).awaitTermination()
 
 
-def positions(df: DataFrame, group: Column, position: Column, name: str = "vgroup") -> DataFrame:
-    """Per group of sub-tables the last position and the number of rows."""
-    return df.groupBy(group.alias(name)).agg(
-        F.max(position).alias("position"), F.count(F.lit(1)).alias("row_count")
-    )
+def positions(df: DataFrame) -> DataFrame:
+    """What was read of a topic with positions: per vgroup its last position and the number of rows."""
+    return df.groupBy("vgroup").agg(F.max("position").alias("position"), F.count(F.lit(1)).alias("row_count"))

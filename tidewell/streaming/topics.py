@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import fs
-from ..sinks.store import TableStore
+from ..sinks.store import WRITE, TableStore
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,7 @@ class Topic:
         reset: str = "latest",
         files_per_batch: int | None = None,
         bytes_per_batch: str | None = None,
+        with_positions: bool = False,
     ) -> DataFrame:
         """The topic as a streaming frame.
 
@@ -69,12 +70,16 @@ class Topic:
         starts go on from the group's checkpoint. ``files_per_batch`` or ``bytes_per_batch``
         (such as ``"500g"``) bounds a micro-batch, so that a long history comes in steps that
         are recorded one by one.
+
+        ``with_positions`` adds where each row stands: its ``vgroup``, the bucket that all rows of
+        its sub-table share, and its ``position`` there, the time of the write in nanoseconds. All
+        rows of a write have one position; those of later writes have larger ones.
         """
         stored = fs.read_json(self.spark, f"{self.path}/topic.json")
         table = TableStore.open(self.spark, stored["table"])
         skipped = self._skipped(group, reset, table)
 
-        layout = [T.StructField("_batch", T.StringType())]
+        layout = [T.StructField(WRITE, T.LongType()), T.StructField("_batch", T.StringType())]
         if table.spec.layout:
             layout += [T.StructField("period", T.DateType()), T.StructField("bucket", T.IntegerType())]
         reader = self.spark.readStream.schema(T.StructType([*table.spec.schema.fields, *layout]))
@@ -85,10 +90,15 @@ class Topic:
         rows = reader.parquet(f"{table.path}/log")
         if skipped:
             rows = rows.where(~F.col("_batch").isin(skipped))
-        rows = rows.select(*table.spec.schema.names)
+        columns = [F.col(f"`{name}`") for name in table.spec.schema.names]
+        vgroup = F.col("bucket") if table.spec.layout else F.lit(0)
+        rows = rows.select(*columns, vgroup.alias("_vgroup"), F.col(WRITE).alias("_position"))
         if stored["where"]:
             rows = rows.where(stored["where"])
-        return rows.selectExpr(*stored["select"])
+        every = [f"`{name}`" for name in table.spec.schema.names]
+        chosen = [c for item in stored["select"] for c in (every if item.strip() == "*" else [item])]
+        places = ["_vgroup AS vgroup", "_position AS position"] if with_positions else []
+        return rows.selectExpr(*chosen, *places)
 
     def _skipped(self, group: ConsumerGroup, reset: str, table: TableStore) -> list[str]:
         """Batches that were there before the group's first start, if it starts with the latest.
