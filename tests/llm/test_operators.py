@@ -233,6 +233,32 @@ def test_secret_entropy(spark):
     assert {r.doc_id: r.spans for r in secrets.scan(docs).collect()} == {i: spans for i, (_, spans) in cases.items()}
 
 
+def test_secrets_in_dates_paths_and_without_digits(spark):
+    key, low, letters = "q7Zt0pXw9LmC4vRb2NsK8yHd3FgJ6", "8x7k2m9q4w5e6r7t8y9u0p3a", "qZtWpXwLmCvRbNsKyHdFgJhTuEi"
+    hexes = "9F86D081884C7D659A2FEAA0C55AD015"
+    suspect = {
+        1: "2024-05-01-" + key,
+        2: "https://x.example/reset/" + low,
+        3: "at " + letters,
+        4: "at " + letters + "12",
+        5: "Files/Of/" + hexes,
+    }
+    plain = {
+        11: "2024-05-01T12-30-00Z 2024-05-01T12-30-00+0200",
+        12: "https://x.example/reset/123e4567-e89b-12d3-a456-426614174000",
+        13: "https://x.example/day/2024-05-01T12-30-00Z",
+        14: "internationalization-of-words_in_a_row ======================== Donaudampfschifffahrtsgesellschaft",
+        15: "some-long-chapter-of-the-book-12",
+    }
+    docs = spark.createDataFrame([*suspect.items(), *plain.items()], "doc_id long, text string")
+    found = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    assert {i: found[i].spans for i in plain} == dict.fromkeys(plain, "")
+    assert all(found[i].n_entropy == 1 for i in suspect)
+    ends = {i: int(found[i].spans.split(":")[2]) for i in suspect}
+    assert ends[1] == len(suspect[1]) and found[2].spans == f"entropy:24:{24 + len(low)}"
+    assert found[5].spans.startswith("entropy:9:")
+
+
 def test_packing(table):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = packing.pack_documents(table, queries.TOKENIZER, pieces_per_task=50).collect()

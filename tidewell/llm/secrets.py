@@ -2,8 +2,9 @@
 
 A window slides over every candidate string; the counts of its characters are updated with the one
 that enters and the one that leaves, and with them the sum from which the Shannon entropy follows.
-What counts as high depends on the class of the characters the string is made of. Strings of an
-allowed form, and those the patterns found already, are left out.
+What counts as high depends on the class of the characters the string is made of. Paths are measured
+segment by segment as well. Strings of an allowed form, and those the patterns found already, are
+left out.
 """
 
 from __future__ import annotations
@@ -20,19 +21,26 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 PATTERNS = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{12,}", "hex": "[0-9a-f]{32,}"}
 LEAST_VALUE = 8
 
-#: Candidates: runs of these characters, with a digit among them (others are words).
+#: Candidates: runs of these characters.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 #: Characters of a window, and the bits per character from which on a window of the class is suspect.
 WINDOW = 20
-CLASSES = {"^[0-9+/_=-]+$": None, "^[0-9A-Fa-f]+$": 3.0, "^[0-9A-Za-z]+$": 3.7, "": 3.9}
-#: Forms that are no secrets: UUIDs, dates and times, numbered names, paths.
+#: Strings without a digit and numbered names may be words and have the highest threshold.
+CLASSES = {
+    "^[0-9+/_=-]+$": None,
+    "^[0-9A-Fa-f]+$": 3.0,
+    "^[A-Za-z+/_=-]+$|^[A-Za-z]+([_/-][A-Za-z]+)*[_/-]?[0-9]{1,4}$": 4.0,
+    "^[0-9A-Za-z]+$": 3.7,
+    "": 3.9,
+}
+#: Forms that are no secrets: UUIDs, dates and times. The segments of a path have to be so each.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    r"^[A-Za-z]+([_/-][A-Za-z]+)*[_/-]?[0-9]{1,4}$",
-    r"^/?([a-z][a-z_-]*/)+[a-z0-9_-]*$",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([Tt_-][0-9]{2}(-?[0-9]{2}){0,2}([Zz]|[+-][0-9]{2}-?[0-9]{2})?)?$",
 )
+#: A path is not measured across its segments, but each of them that is as long as a window is.
+PATH = r"^/?([a-z][a-z_-]*/)+[a-z0-9_-]*$"
 
 
 def found_spans(matches: str, pieces: str, kind: str, order: int, passes) -> Column:
@@ -128,6 +136,51 @@ def _threshold(string: Column) -> Column:
     return threshold
 
 
+def _segments(candidate: Column) -> Column:
+    """Structs (at, match) of a candidate as a whole, unless it is a path, and of its segments between
+    slashes that are as long as a window."""
+    whole = F.struct(F.lit(0).cast("long").alias("at"), candidate.alias("match"))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<at:long,match:string>>").alias("parts"))
+    cut = F.aggregate(
+        F.split(candidate, "/", -1),
+        begin,
+        lambda acc, part: F.struct(
+            (acc["at"] + F.length(part) + 1).alias("at"),
+            F.when(
+                F.length(part) >= WINDOW,
+                F.array_append(acc["parts"], F.struct(acc["at"].alias("at"), part.alias("match"))),
+            ).otherwise(acc["parts"]).alias("parts"),
+        ),
+        lambda acc: acc["parts"],
+    )
+    none = F.array().cast("array<struct<at:long,match:string>>")
+    return F.concat(
+        F.when(candidate.rlike(PATH), none).otherwise(F.array(whole)),
+        F.when(F.contains(candidate, F.lit("/")), cut).otherwise(none),
+    )
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans with those that overlap joined to one."""
+
+    def step(acc: Column, span: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        joined = F.struct(
+            last["start"].alias("start"),
+            last["order"].alias("order"),
+            F.greatest(last["end"], span["end"]).alias("end"),
+            last["kind"].alias("kind"),
+            last["match"].alias("match"),
+        )
+        return F.when(
+            span["start"] < last["end"], F.array_append(F.slice(acc, 1, F.size(acc) - 1), joined)
+        ).otherwise(F.array_append(acc, span))
+
+    return F.aggregate(
+        F.array_sort(spans), F.array().cast("array<struct<start:long,order:int,end:long,kind:string,match:string>>"), step
+    )
+
+
 def _joined(spans: Column) -> Column:
     text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
     return F.array_join(text, ",")
@@ -160,9 +213,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowe
     def passes(kind: str):
         if kind == "assign":
             return lambda match: F.length(F.regexp_extract(match, "^" + ASSIGN, 1)) >= LEAST_VALUE
-        if kind == "entropy":
-            refused = lambda match: [match.rlike(form) for form in allowed]
-            return lambda match: ~F.greatest(F.lit(False), *refused(match), F.lit(False))
         return lambda match: F.lit(True)
 
     rows = rows.select(
@@ -173,8 +223,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowe
         ],
     )
     rows = rows.withColumn("base", F.array_sort(F.concat(*PATTERNS)))
-    measured = F.transform(
+    strings = F.transform(
         "entropy",
+        lambda s: F.transform(
+            _segments(s["match"]),
+            lambda x: F.struct(
+                (s["start"] + x["at"]).alias("start"), s["order"].alias("order"), s["kind"].alias("kind"), x["match"].alias("match")
+            ),
+        ),
+    )
+    refused = lambda match: [match.rlike(form) for form in allowed]
+    strings = F.filter(F.flatten(strings), lambda s: ~F.greatest(F.lit(False), *refused(s["match"]), F.lit(False)))
+    rows = rows.withColumn("strings", strings)
+    measured = F.transform(
+        "strings",
         lambda s: F.struct(s.alias("span"), suspect_part(s["match"], _threshold(s["match"])).alias("part")),
     )
     rows = rows.withColumn("measured", measured)
@@ -188,7 +250,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowe
             m["span"]["match"].alias("match"),
         ),
     )
-    rows = rows.withColumn("suspects", added)
+    rows = rows.withColumn("suspects", _merged(added))
     news = F.filter(
         "suspects", lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
     )
