@@ -199,6 +199,37 @@ def test_pages_without_an_article_element(spark):
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_main_text_is_whole(spark):
+    def body(i):
+        return "".join(f"<p>{' '.join(f'b{i}x{j}x{k}' for k in range(40))}</p>" for j in range(3))
+
+    def lines(i):
+        return "\n".join(" ".join(f"b{i}x{j}x{k}" for k in range(40)) for j in range(3))
+
+    nav = "<nav><a href='/'>Home</a></nav>"
+    shapes = {
+        "beside": lambda i: f"<body>{nav}<h1>Title {i}</h1><p>lead {i}</p><div class=content>{body(i)}</div><div>Fixed line</div></body>",
+        "main": lambda i: f"<body>{nav}<main><h1>Title {i}</h1><p>lead {i}</p><article>{body(i)}</article></main></body>",
+        "title": lambda i: f"<body>{nav}<h1>Title {i}</h1><article><p>lead {i}</p>{body(i)}</article></body>",
+        "sidebar": lambda i: f"<body class='right-sidebar'>{nav}<div class='no-comments'><h1>Title {i}</h1><p>lead {i}</p>{body(i)}</div></body>",
+        "form": lambda i: f"<body><form id=aspnetForm>{nav}<article><h1>Title {i}</h1><p>lead {i}</p>{body(i)}</article></form></body>",
+        "single": lambda i: f"<body class='no-comments'><form>{nav}<h1>Title {i}</h1><p>lead {i}</p><div>{body(i)}</div></form></body>",
+        "header": lambda i: f"<article><header class='entry-header'><h1>Title {i}</h1></header><p>lead {i}</p>{body(i)}</article>",
+    }
+    rows = [(100 * n + i, f"http://{name}.example/{i}", shape(i)) for n, (name, shape) in enumerate(shapes.items()) for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_pages(pages).collect()}
+    for n, name in enumerate(shapes):
+        for i in range(8):
+            assert got[100 * n + i] == f"Title {i}\nlead {i}\n{lines(i)}", name
+    parts = "<article><p>one long article of some words and more of them, and more</p></article><article><p>short</p></article>"
+    assert html_text.extract(parts).endswith("\nshort")
+    links = f"<body>{nav}<div><h1>T</h1>{body(1)}<ol><li><a href=x>A reference</a></ol></div><div class=comments>{body(2)}</div></body>"
+    text = html_text.extract(links, html_text.Wrapper(html_text.template_of(html_text.parse(links))))
+    assert text == f"T\n{lines(1)}\nA reference"
+    assert html_text.extract(f"<body><div class=widget>{body(1)}</div></body>") == lines(1)
+
+
 def test_deep_and_broken_pages():
     assert "deep" in html_text.extract("<div>" * 5000 + "deep" + "</div>" * 5000)
     assert html_text.extract("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>") == "a\nb\nc\nd"

@@ -41,6 +41,8 @@ IMPLIED = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "body": ({"head"}, set()),
 }
+#: Elements that hold the page, whatever their names.
+WHOLE_PAGE = frozenset(("html", "body"))
 #: Elements, roles and name parts (of class and id) that are not the article.
 NOT_CONTENT = frozenset("nav header footer aside form head dialog menu search".split())
 NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
@@ -305,7 +307,9 @@ def constant(template: list) -> bool:
 def varying(template: list) -> float:
     """Varying characters outside links below a template node, without what its labels refuse."""
     tag, _, name = template[0].partition(".")
-    if tag in NOT_CONTENT or {part.lower() for part in _NAME_PARTS.findall(name)} & NOT_CONTENT_NAMES:
+    if tag in WHOLE_PAGE:
+        pass
+    elif tag in NOT_CONTENT or {part.lower() for part in _NAME_PARTS.findall(name)} & NOT_CONTENT_NAMES:
         return 0.0
     own = 0 if constant(template) else template[2] - 2 * template[3]
     return max(0, own) + sum(map(varying, template[5]))
@@ -328,23 +332,66 @@ def slot_path(template: list, share: float = 0.8) -> list[int]:
 # -- pages -------------------------------------------------------------------------------
 
 
-def _article(root: Node) -> list[Node]:
-    """The outermost article or main elements that are not refused; of several, the large ones."""
+def _spared(root: Node) -> set[int]:
+    """The nodes that are neither refused nor dropped for their links: html and body, what holds most of
+    the page's text outside links, and what wraps the only article. What is marked as something else
+    counts as a wrapper if the page's title is in it, or nearly all of a page without one."""
+    sums: dict[int, tuple[int, int, int]] = {}
+
+    def add(node: Node) -> tuple[int, int, int]:
+        text = titles = articles = 0
+        for item in node.items:
+            if isinstance(item, tuple):
+                text += 0 if item[1] else len(item[0].strip())
+            elif item is not None:
+                t, n, k = add(item)
+                text, titles, articles = text + t, titles + n, articles + k
+        titles += node.tag == "h1"
+        articles += node.tag in ("article", "main") and not node.refused
+        sums[id(node)] = text, titles, articles
+        return text, titles, articles
+
+    all_text, all_titles, all_articles = add(root)
+    spared: set[int] = set()
+
+    def look(node: Node) -> None:
+        for child in node.children:
+            text, titles, articles = sums[id(child)]
+            most = 2 * text > all_text
+            if child.tag in WHOLE_PAGE or (most and not child.refused):
+                spared.add(id(child))
+            elif most and (titles or articles or (not all_titles and 5 * text >= 4 * all_text)):
+                spared.add(id(child))
+            elif child.refused and (child.tag == "form" or child.tag not in NOT_CONTENT) and 0 < articles == all_articles:
+                spared.add(id(child))
+            look(child)
+
+    look(root)
+    return spared
+
+
+def _article(root: Node, spared: set[int]) -> list[Node]:
+    """The outermost article or main elements that are not refused; of several, those that are not links."""
     found: list[Node] = []
 
     def look(node: Node) -> None:
         for child in node.children:
-            if child.refused:
+            if child.refused and id(child) not in spared:
                 continue
             if child.tag in ("article", "main"):
-                inner = [x for x in _article(child)] if child.tag == "main" else []
-                found.extend(inner or [child])
+                found.append(child)
             else:
                 look(child)
 
     look(root)
-    sizes = [_amounts(node)[0] for node in found]
-    return [node for node, size in zip(found, sizes) if size and size >= 0.3 * max(sizes)]
+    found = [node for node in found if _amounts(node)[0]]
+    return [node for node in found if not _linked(node)] or found
+
+
+def _below(node: Node) -> Iterator[Node]:
+    for child in node.children:
+        yield child
+        yield from _below(child)
 
 
 class Wrapper:
@@ -370,14 +417,69 @@ def extract(html: str | None, wrapper: Wrapper | None = None) -> str:
         slot = _mark(root, wrapper.template, wrapper.path, fixed, seen)
         if not wrapper.differs:
             fixed.clear()
-    # an article's own header holds its title
-    refused = lambda node: node.refused and not (node.tag == "header" and not node.names & NOT_CONTENT_NAMES)
-    articles = _article(root)
+    spared = _spared(root)
+    gone = lambda node: id(node) in fixed or (node.refused and id(node) not in spared)
+    articles = _article(root, spared)
+    within = {id(node) for node in articles}
     if articles:
-        skip = lambda node: refused(node) or id(node) in fixed
-        return "\n".join(text for article in articles for text in blocks(article, skip))
-    skip = lambda node: node.refused or id(node) in fixed or _linked(node)
-    return "\n".join(blocks(slot or root, skip)) or "\n".join(blocks(root, skip))
+        # a title may stand before the article, and a main may hold one article and what belongs to it
+        loose = {id(x) for node in articles if node.tag == "main" for x in _beside(node, spared)}
+
+        def skip(node: Node) -> bool:
+            # an article's own header holds its title
+            own_header = node.tag == "header" and not node.names & NOT_CONTENT_NAMES - {"header"}
+            return (gone(node) and not (own_header and id(node) not in fixed)) or (
+                id(node) in loose and id(node) not in spared and _linked(node)
+            )
+
+        titles = [] if any(x.tag == "h1" for node in articles for x in _below(node)) else _titles(root, within, gone)
+        return "\n".join(text for node in [*titles, *articles] for text in blocks(node, skip))
+    if slot is not None and slot is not root:
+        within = {id(slot), *map(id, _below(slot))}
+        spared |= _way(root, slot)
+    skip = lambda node: gone(node) or (id(node) not in spared and id(node) not in within and _linked(node))
+    # nothing is left where all of it lies in refused elements: then only their innermost are left out
+    inner = lambda node: (
+        id(node) in fixed
+        or node.tag in ("nav", "footer", "menu", "dialog")
+        or (node.refused and not node.children)
+        or (id(node) not in spared and _linked(node))
+    )
+    return "\n".join(blocks(root, skip)) or "\n".join(blocks(root, inner))
+
+
+def _beside(main: Node, spared: set[int]) -> Iterator[Node]:
+    """The nodes of a main element that are neither in an article of it nor around one."""
+    if any(node.tag == "article" and not node.refused for node in _below(main)):
+        for child in main.children:
+            if child.tag != "article" and not any(node.tag == "article" for node in _below(child)):
+                yield child
+            elif child.tag != "article":
+                yield from _beside(child, spared)
+
+
+def _titles(node: Node, articles: set[int], gone) -> list[Node]:
+    """The first-level headings outside the articles."""
+    found: list[Node] = []
+    for child in node.children:
+        if id(child) in articles or gone(child):
+            continue
+        if child.tag == "h1":
+            found += [] if _linked(child) else [child]
+        else:
+            found += _titles(child, articles, gone)
+    return found
+
+
+def _way(node: Node, to: Node) -> set[int]:
+    """The nodes from one down to another below it."""
+    if node is to:
+        return {id(node)}
+    for child in node.children:
+        way = _way(child, to)
+        if way:
+            return way | {id(node)}
+    return set()
 
 
 def _same_article(template: list, path: list[int]) -> bool:
@@ -497,8 +599,9 @@ def extract_pages(
 
     The text is the article from the whole html: character references decoded, white space inside a
     block as one blank, trimmed, blocks joined by a line feed in page order. Pages with an article or
-    main element have their text there, but for parts that are marked as something else; on others it
-    is in the slot of the host's template. A null or empty html gives an empty text. Pages whose url is
+    main element have their text there, but for parts that are marked as something else, after a
+    first-level heading outside; on others it is all blocks but those that are template, marked as
+    something else, or mostly links outside the slot of the host's template. A null or empty html gives an empty text. Pages whose url is
     null or has no host share the template of the host ''. Repeated rows give repeated results; other
     columns are not read. An empty table gives no rows.
     """
