@@ -468,6 +468,37 @@ def test_passages_inside_other_paragraphs(spark):
     assert {r.doc_id for r in found} == {1, 2, 3} and {r.keep_doc_id for r in found} == {0}
 
 
+def test_crowded_bands_are_cut_and_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(paragraphs, "BLOCK", 8)
+    rng = np.random.default_rng(5)
+    sets = []
+    for family in range(3):  # variants drift, so that many link through others only
+        now = [int(x) for x in rng.integers(0, 1 << 62, 40)]
+        for _ in range(40):
+            now = now[1:] + [int(rng.integers(0, 1 << 62))] if rng.random() < 0.8 else [int(x) for x in rng.integers(0, 1 << 62, 40)]
+            sets.append(np.unique(np.array(now, np.uint64)))
+    links = [
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))
+    ]
+    met = spark.createDataFrame([(7, i) for i in range(120)] + [(8, 0), (8, 1)], "band long, digest long")
+    shingled = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(sets)], "digest long, shingles binary")
+    want = {i: r for i, r in forest(iter(links)).items() if i != r}
+    assert len(want) > 50
+    assert {r.node: r.root for r in paragraphs.linked(met, shingled, 0.8).collect() if r.node != r.root} == want
+    crowded = spark.createDataFrame([(7, 15)], "band long, blocks long")
+    sizes = [r["count"] for r in paragraphs.in_blocks(met, crowded, 0).groupBy("band").count().collect()]
+    assert sum(sizes) == 122 and max(sizes) <= 24
+    members = met.filter("band = 7").selectExpr("band", "digest", "15L as blocks", "digest div 10 as root")
+    pairs = paragraphs.block_pairs(members).collect()
+    groups = defaultdict(lambda: ([], []))
+    for r in pairs:
+        groups[r.band][r.resting].append(r.digest)
+    seen = {frozenset((a, b)) for x, y in groups.values() for a in x for b in y}
+    assert all(frozenset((a, b)) in seen for a in range(120) for b in range(a) if a // 10 != b // 10)
+    assert max(len(x) + len(y) for x, y in groups.values()) <= 48
+
+
 def test_suffix_dedup(table):
     got = Counter(map(tuple, suffix_dedup.remove_repeats(table).collect()))
     rows = [(doc_id, text.encode()) for doc_id, text in texts(table)]

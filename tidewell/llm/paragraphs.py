@@ -22,6 +22,8 @@ from ._graph import components
 SHINGLE, SIMILARITY, LEAST_WORDS, LEAST_PART = 5, 0.8, 20, 8
 #: Bands and rows: a pair at the similarity of 0.8 meets in a band with a chance of 1 - (1 - 0.8^3)^8 = 0.997.
 BANDS, ROWS = 8, 3
+#: Paragraphs of a band that one task compares; larger bands are cut into blocks.
+BLOCK = 2048
 #: Words on either side that decide where a paragraph is cut.
 REACH = 6
 REMEMBERED = 400_000
@@ -220,6 +222,118 @@ def _compare(similarity: float):
     return run
 
 
+def _compare_across(similarity: float):
+    """Links between the rows of either side of a block pair that are not connected yet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in rows_in_groups(batches, "band", 1 << 12):
+            keys = table.column("band").combine_chunks().to_numpy()
+            digests, roots = table.column("digest").to_pylist(), table.column("root").to_pylist()
+            resting, data = table.column("resting").to_pylist(), table.column("shingles").to_pylist()
+            begins = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+            links: list[tuple[int, int]] = []
+            for lo, hi in zip(begins[:-1].tolist(), begins[1:].tolist()):
+                sets = {k: np.frombuffer(data[k], np.uint64) for k in range(lo, hi)}
+                others = [k for k in range(lo, hi) if not resting[k]]
+                sizes = np.array([len(sets[k]) for k in others])
+                names, component = np.unique([roots[k] for k in range(lo, hi)], return_inverse=True)
+                component = dict(zip(range(lo, hi), component.tolist()))
+                now = np.arange(len(names))
+                of_others = np.array([component[k] for k in others], np.int64)
+                for pivot in (k for k in range(lo, hi) if resting[k]):
+                    if not others:
+                        break
+                    size, own = len(sets[pivot]), component[pivot]
+                    fits = (sizes >= similarity * size - 1e-9) & (size >= similarity * sizes - 1e-9)
+                    rest = np.flatnonzero(fits & (now[of_others] != now[own])).tolist()
+                    if not rest:
+                        continue
+                    near = alike(sets[pivot], [sets[others[i]] for i in rest], similarity)
+                    for i, hit in zip(rest, near):
+                        there = now[of_others[i]]
+                        if hit and there != now[own]:
+                            links.append((digests[pivot], digests[others[i]]))
+                            now[now == there] = now[own]
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def in_blocks(met: DataFrame, crowded: DataFrame, turn: int) -> DataFrame:
+    """(band, digest) of ``met`` with a band of its own for each block of a crowded band, dealt anew each turn."""
+    block = F.pmod(F.xxhash64("digest", F.lit(turn)), F.col("blocks"))
+    return met.join(crowded, "band", "left").select(
+        F.when(F.col("blocks").isNull(), F.col("band")).otherwise(F.xxhash64("band", block)).alias("band"), "digest"
+    )
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """Rows (band, digest, root, resting): a band of its own for each pair of a block of all members of a
+    crowded band and a block of those outside its largest component. Any two members of different
+    components meet; bands of one component have no rows. ``members`` has (band, digest, blocks, root)."""
+    sizes = stored(members.groupBy("band", "root").count(), "sizes")
+    largest = sizes.groupBy("band").agg(
+        F.max(F.struct("count", "root")).alias("top"), F.sum("count").alias("all")
+    ).select("band", F.col("top.root").alias("top"), (F.col("all") - F.col("top.count")).alias("n_resting"))
+    largest = stored(largest.filter("n_resting > 0"), "largest")
+    rows = members.join(largest, "band").select(
+        "band", "digest", "root", "blocks", (F.col("root") != F.col("top")).alias("rests"),
+        F.ceil(F.col("n_resting") / BLOCK).alias("pieces"),
+    )
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    dealt = lambda n: F.pmod(F.xxhash64("digest", F.lit(-1)), n)
+    every = rows.select(
+        "band", "digest", "root", F.lit(False).alias("resting"), dealt(F.col("blocks")).alias("i"),
+        F.explode(upto(F.col("pieces"))).alias("j"),
+    )
+    outside = rows.filter("rests").select(
+        "band", "digest", "root", F.lit(True).alias("resting"), F.explode(upto(F.col("blocks"))).alias("i"),
+        dealt(F.col("pieces")).alias("j"),
+    )
+    return every.unionByName(outside).select(F.xxhash64("band", "i", "j").alias("band"), "digest", "root", "resting")
+
+
+def linked(met: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of the paragraphs that are alike, from their bands and their shingles.
+
+    No task compares more than about ``BLOCK`` paragraphs of a band. Crowded bands are cut into random
+    blocks, anew while that connects most of what is not; then the members outside the largest component of
+    their band are compared with all members of other components, in pairs of blocks, so that no link is lost.
+    """
+    n = partitions(met.sparkSession)
+    crowded = met.groupBy("band").count().filter(F.col("count") > BLOCK)
+    crowded = stored(crowded.select("band", F.ceil(F.col("count") / BLOCK).alias("blocks")), "crowded")
+
+    def compared(rows: DataFrame, run) -> DataFrame:
+        rows = rows.join(sets, "digest").repartition(n, "band").sortWithinPartitions("band")
+        return rows.mapInArrow(run, "a long, b long").distinct()
+
+    links = compared(in_blocks(met, crowded, 0).select("band", "digest"), _compare(similarity))
+    if not crowded.count():
+        return stored(components(links), "roots")
+    links = stored(links, "links")
+    crowds = stored(met.join(crowded, "band"), "crowds")
+    turn, before = 0, None
+    while True:
+        roots = stored(components(links), "roots")
+        members = crowds.join(roots, F.col("digest") == F.col("node"), "left").select(
+            "band", "digest", "blocks", F.coalesce("root", "digest").alias("root")
+        )
+        members = stored(members, "members")
+        of_band = members.groupBy("band", "root").count().groupBy("band")
+        outside = of_band.agg((F.sum("count") - F.max("count")).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if not outside:
+            return roots
+        if before is not None and 2 * outside > before:
+            break
+        turn, before = turn + 1, outside
+        again = in_blocks(crowds.select("band", "digest"), crowded, turn)
+        links = stored(links.unionByName(compared(again, _compare(similarity))).distinct(), "links")
+    across = compared(block_pairs(members), _compare_across(similarity))
+    return stored(components(links.unionByName(across)), "roots")
+
+
 def repeated_paragraphs(
     docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -235,7 +349,6 @@ def repeated_paragraphs(
     and text, all paragraphs are at the same place and none is removed for the other. Other columns
     are not read. Without repeats, or from an empty table, there are no rows.
     """
-    n = partitions(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).cast("binary").alias("text"))
     units = stored(texts.mapInArrow(_units, _UNITS), "units")
     place = F.struct("doc_id", "paragraph", "part")
@@ -260,15 +373,7 @@ def repeated_paragraphs(
     # an id that several rows have may not lead to the wanted paragraph in all of them: digests decide
     one_each = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select("text", "wanted")
     sets = stored(one_each.mapInArrow(_shingle_sets, "digest long, shingles binary").dropDuplicates(["digest"]), "sets")
-    links = (
-        met.join(sets, "digest")
-        .select("band", "digest", "shingles")
-        .repartition(n, "band")
-        .sortWithinPartitions("band")
-        .mapInArrow(_compare(similarity), "a long, b long")
-        .distinct()
-    )
-    roots = stored(components(links), "roots")
+    roots = linked(met, sets, similarity)
     whole = classes.filter("whole").join(roots, F.col("digest") == F.col("node"), "left").select(
         "digest", "first", "copies", F.coalesce("root", "digest").alias("root")
     )
