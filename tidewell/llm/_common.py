@@ -37,6 +37,12 @@ def n_words(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def finite_vectors(vectors: DataFrame, column: str) -> DataFrame:
+    """The rows whose vector is not null and holds finite numbers only, the vector as doubles."""
+    whole = F.forall(column, lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf"))))
+    return vectors.withColumn(column, F.col(column).cast("array<double>")).where(whole)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below the shared folder and read from there.
 

@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, html_text, language_id, mixing, packing, paragraphs, quality, secrets, simhash, suffix_dedup
+from . import (
+    exact_dedup,
+    hard_negatives,
+    html_text,
+    language_id,
+    mixing,
+    packing,
+    paragraphs,
+    personal_data,
+    quality,
+    secrets,
+    simhash,
+    suffix_dedup,
+    whitening,
+)
 
 #: The tokenizer that documents are packed with.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +77,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    # a long holds the deviations of some 600,000 vectors; beyond that they stand in the exact column only
+    return rows.withColumn("deviation_exact", F.col("deviation")).withColumn(
+        "deviation", F.col("deviation").try_cast("long")
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", noisy)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +108,9 @@ QUERIES = {
         op8_language_id,
         op9_paragraph_dedup,
         op10_suffix_dedup,
+        op11_whitening,
+        op12_hard_negatives,
+        op13_personal_data,
     )
 }
 
@@ -167,4 +202,31 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (h)
 """
 
-ORACLES = {"op1_quality_rules": OP1_SQL, "op2_mix_sources": OP2_SQL, "op7_exact_groups": OP7_SQL}
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.q, c.q)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), hard AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored s USING (anchor_id)
+  WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5
+"""
+
+ORACLES = {
+    "op1_quality_rules": OP1_SQL,
+    "op2_mix_sources": OP2_SQL,
+    "op7_exact_groups": OP7_SQL,
+    "op12_hard_negatives": OP12_SQL,
+}
