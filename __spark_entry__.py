@@ -6,12 +6,12 @@ The ``events`` table is read as a super table of meters: sub-table ``d<user_id>`
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,10 +21,12 @@ from oracles import ORACLES  # noqa: E402
 from tidewell import (  # noqa: E402
     Lake,
     ScanRequest,
+    Statements,
     TableSpec,
     TableStore,
     TimeRange,
     column_field,
+    consumer_group,
     open_sink,
     open_table,
     scan,
@@ -54,13 +56,14 @@ from tidewell.operators import (  # noqa: E402
 )
 from tidewell.sinks import copy_slices, insert_statements, write_statements  # noqa: E402
 from tidewell.sources import run_sql  # noqa: E402
-from tidewell.streaming import positions, run_into_table  # noqa: E402
+from tidewell.streaming import run_into_table  # noqa: E402
 
-# The operators on training text may be left out as a whole, with their pipeline.
-WITH_LLM = importlib.util.find_spec("tidewell.llm") is not None
-if WITH_LLM:
+# The operators on training text may be left out as a whole, with their pipeline and what they import.
+try:
     import corpus_pipeline  # noqa: E402
     from tidewell.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
 
 METERS = ["event_id", "ts", "current", "voltage", "phase", "location", "groupid", "tbname"]
 TAGGED = ["ts", "current", "voltage", "phase", "location", "groupid", "tbname"]
@@ -212,6 +215,22 @@ def time_slice_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sliced(spark, sf_dir, timedelta(days=365))
 
 
+def time_slices_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate for each window, as a query of its own would yield it: also for windows without rows."""
+    bounds = TimeRange.of_local(datetime(2023, 12, 31), datetime(2024, 1, 29, 5), "ts", timedelta(hours=8), "UTC")
+    request = ScanRequest(
+        select="sum(voltage) AS sum_voltage, count(*) AS row_count", table="meters", where="voltage > 50", time=bounds
+    )
+    return scan(spark, request, {"meters": _meters(spark, sf_dir)})
+
+
+def time_slices_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows below a query that orders its rows and leaves the time out."""
+    bounds = TimeRange.of_local(datetime(2024, 1, 10), datetime(2024, 1, 20), "ts", timedelta(days=3), "UTC")
+    request = ScanRequest(select="event_id, voltage", table="meters", order_by=("current",), time=bounds)
+    return scan(spark, request, {"meters": _meters(spark, sf_dir)})
+
+
 def tag_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     request = ScanRequest(
         sql="SELECT event_id, groupid FROM meters",
@@ -233,6 +252,13 @@ def per_table_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_per_table(_meters(spark, sf_dir), 5, ["ts", "event_id"]).select(*METERS)
 
 
+def per_table_limit_own_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of listed sub-tables by the table's own time, which is not called ts."""
+    rows = _meters(spark, sf_dir).withColumnRenamed("ts", "at")
+    request = ScanRequest(select="tbname, at", table="meters", tables=("d1", "d2", "d3", "d5", "d8", "d13"), limit=4)
+    return scan(spark, request, {"meters": rows})
+
+
 def per_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The path for large limits, with pieces small enough that sub-tables are split."""
     rows = _meters(spark, sf_dir).select("event_id", "ts", "tbname")
@@ -415,6 +441,34 @@ def sink_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def sink_normal_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A normal table is laid out by its time, so that a range of it opens the files of its days only."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    spec = TableSpec.normal(
+        "orders",
+        [column_field("o_orderkey", "BIGINT"), column_field("o_orderdate", "TIMESTAMP"), column_field("o_totalprice", "DOUBLE")],
+        time="o_orderdate",
+        period="year",
+    )
+    table = _lake(spark, "sink-normal-range").create_table("power", spec)
+    table.append(orders, batch="first")
+    rows = table.read(datetime(1996, 3, 1), datetime(1998, 6, 15))
+    return rows.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+def sink_parallelism(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _lake(spark, "sink-parallelism")
+    table = lake.create_table("power", _meters_spec(spark, sf_dir))
+    options = {
+        "td.jdbc.url": lake.root,
+        "sink.db.name": "power",
+        "sink.supertable.name": "meters",
+        "sink.parallelism": "3",
+    }
+    open_sink(spark, options).insert(_meters(spark, sf_dir), by="name")
+    return _local(table.read())
+
+
 def sink_bind(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _meters_spec(spark, sf_dir)
     fields = ["tbname", "`groupid`", "location", "`phase`", "voltage", "current", "`ts`", "event_id"]
@@ -472,6 +526,55 @@ def coerce_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("event_id", "reading", "code", F.concat_ws(",", "rejected").alias("columns"))
 
 
+def _checked_spec(spark: SparkSession, sf_dir: str) -> TableSpec:
+    return TableSpec.super(
+        "checked",
+        [
+            column_field("ts", "TIMESTAMP"),
+            column_field("event_id", "BIGINT"),
+            column_field("reading", "TINYINT"),
+            column_field("code", "INT"),
+        ],
+        order_by=("event_id",),
+        **_layout(spark, sf_dir),
+    )
+
+
+def _unchecked(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "ts",
+        "tbname",
+        "event_id",
+        (F.col("voltage") * 3).alias("reading"),
+        F.when(F.col("voltage") % 7 == 0, F.lit("n/a")).otherwise(F.col("voltage").cast("string")).alias("code"),
+    )
+
+
+def _good_and_bad(table: TableStore, folder: str, schema: T.StructType) -> DataFrame:
+    """Rows of both outputs of a checked write."""
+    good = table.read().select("event_id", F.col("reading").cast("int"), F.col("code").cast("string"), F.lit("").alias("columns"))
+    bad = table.read_rejects(folder, schema)
+    return good.union(bad.select("event_id", "reading", "code", F.concat_ws(",", "rejected")))
+
+
+def coerce_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that convert go into a table, the others to a folder, in one job over the input."""
+    table = _lake(spark, "coerce-write").create_table("power", _checked_spec(spark, sf_dir))
+    rows = _unchecked(_meters(spark, sf_dir))
+    folder = f"{table.path}-rejects"
+    table.append_checked(rows, folder, batch="first")
+    return _good_and_bad(table, folder, rows.schema)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``coerce_write``, micro-batch by micro-batch."""
+    table = _lake(spark, "stream-rejects").create_table("power", _checked_spec(spark, sf_dir))
+    rows = _unchecked(_meters_stream(spark, sf_dir))
+    folder = f"{table.path}-rejects"
+    run_into_table(rows, table, f"{table.path}-checkpoint", rejects=folder)
+    return _good_and_bad(table, folder, rows.schema)
+
+
 TYPE_COLUMNS = {
     "int_col": "INT",
     "long_col": "BIGINT",
@@ -646,14 +749,15 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vgroup_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two writes read through a topic: a sub-table stays in one vgroup, and what was written later
-    stands at a later position."""
-    spec = replace(_meters_spec(spark, sf_dir), buckets=5)
+    """Two writes, and the second one again, read through a topic: a sub-table stays in one vgroup, and
+    the positions of a vgroup count all rows written to it without a gap, later writes behind earlier ones."""
+    spec = replace(_meters_spec(spark, sf_dir), buckets=5, numbered=True)
     lake = _lake(spark, "vgroups")
     source = lake.create_table("power", spec)
     rows = _meters(spark, sf_dir)
     source.append(rows.where("ts < timestamp_ntz'2024-01-12'"), batch="history")
-    source.append(rows.where("ts >= timestamp_ntz'2024-01-12'"), batch="news")
+    for _ in range(2):
+        source.append(rows.where("ts >= timestamp_ntz'2024-01-12'"), batch="news")
     topic = lake.create_topic("topic_meters", source)
     group = topic.group("group_1")
     stream = topic.read(group, "earliest", with_positions=True)
@@ -666,25 +770,62 @@ def vgroup_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .awaitTermination()
     )
     read = spark.read.schema(stream.schema).parquet(folder)
-    ends = positions(read).select("vgroup", F.col("position").alias("end"))
+    history = F.col("ts") < F.lit(datetime(2024, 1, 12, tzinfo=timezone.utc))
+    ends = read.groupBy("vgroup").agg(
+        F.coalesce(F.max(F.when(history, F.col("position"))), F.lit(-1)).alias("history_end"),
+        (
+            (F.min("position") == 0)
+            & (F.max("position") == F.count(F.lit(1)) - 1)
+            & (F.count_distinct("position") == F.count(F.lit(1)))
+        ).alias("dense"),
+    )
     return (
-        read.groupBy("tbname", "vgroup")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.max("position").alias("position"),
-            F.max(F.struct("position", "event_id")).getField("event_id").alias("last_id"),
-        )
-        .join(ends, "vgroup")
+        read.join(ends, "vgroup")
         .groupBy("tbname")
         .agg(
-            F.count(F.lit(1)).alias("vgroups"),
-            F.sum("row_count").alias("row_count"),
-            F.max("last_id").alias("last_id"),
-            F.bool_or(F.col("position") == F.col("end")).alias("at_end"),
+            F.count_distinct("vgroup").alias("vgroups"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.col("position") > F.col("history_end")).alias("news"),
+            F.bool_and("dense").alias("dense"),
         )
     )
 
 
+def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream table with a declared schema: bytes in its charset become text, numbers the declared types."""
+    lake = _lake(spark, "stream-decode")
+    spec = TableSpec.super(
+        "raw",
+        [
+            column_field("ts", "TIMESTAMP"),
+            column_field("event_id", "BIGINT"),
+            column_field("voltage", "INT"),
+            column_field("place", "VARBINARY(64)"),
+        ],
+        **_layout(spark, sf_dir),
+    )
+    source = lake.create_table("power", spec)
+    place = F.encode(F.concat("location", F.lit(" é日")), "UTF-16BE")
+    source.append(_meters(spark, sf_dir).withColumn("place", place), batch="first")
+    lake.create_topic("topic_raw", source)
+    declared = [column_field("ts", "TIMESTAMP"), column_field("event_id", "VARCHAR"), column_field("voltage", "SMALLINT")]
+    declared += [column_field("place", "NCHAR(64)"), column_field("tbname", "VARCHAR")]
+    options = {
+        "td.jdbc.mode": "cdc",
+        "url": lake.root,
+        "topic": "topic_raw",
+        "group.id": "group_1",
+        "auto.offset.reset": "earliest",
+        "value.deserializer.encoding": "UTF-16BE",
+    }
+    stream = open_table(spark, options, T.StructType(declared))
+    group = consumer_group(spark, options)
+    folder = f"{group.folder}/rows"
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", group.checkpoint)
+    writer.trigger(availableNow=True).start(folder).awaitTermination()
+    return _local(spark.read.schema(stream.schema).parquet(folder))
+
+
 # -- tables by options --------------------------------------------------------------------
 
 
@@ -734,6 +875,43 @@ def open_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(sink.store.read())
 
 
+def open_table_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table opened by options that slice it by tag predicates: rows of two of them come twice."""
+    lake, _ = _filled_lake(spark, sf_dir, "open-slices")
+    options = {
+        "td.jdbc.url": f"{lake.root}/power",
+        "td.jdbc.mode": "source",
+        "scan.query": "SELECT event_id, voltage, groupid FROM meters",
+        "scan.tags": "groupid < 6; groupid > 3 and groupid < 8",
+    }
+    return open_table(spark, options)
+
+
+def ddl_insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source, stream and sink declared and joined in SQL."""
+    lake, source = _filled_lake(spark, sf_dir, "ddl")
+    lake.create_topic("topic_meters", source, METERS)
+    lake.create_table("sinks", _meters_spec(spark, sf_dir, "cold"))
+    lake.create_table("sinks", _meters_spec(spark, sf_dir, "warm"))
+    view = f"declared_{uuid.uuid4().hex[:8]}"
+    statements = Statements(spark)
+    columns = "event_id BIGINT, ts TIMESTAMP, `current` DOUBLE, voltage INT, phase DOUBLE, location STRING, groupid INT, tbname STRING"
+    sink = f"'td.jdbc.url' '{lake.root}', 'sink.db.name' 'sinks', 'sink.supertable.name'"
+    stream = f"'td.jdbc.mode' 'cdc', 'url' '{lake.root}', 'topic' 'topic_meters', 'group.id' 'g', 'auto.offset.reset' 'earliest'"
+    for text in (
+        f"CREATE TABLE {view}_source ({columns}) USING tidewell OPTIONS ('td.jdbc.mode' 'source', "
+        f"'td.jdbc.url' '{lake.root}/power', 'scan.query' 'SELECT * FROM meters')",
+        f"CREATE TABLE {view}_stream ({columns}) USING tidewell OPTIONS ({stream})",
+        f"CREATE TABLE {view}_cold ({columns}) USING tidewell OPTIONS ({sink} 'cold')",
+        f"CREATE TABLE {view}_warm ({columns}) USING tidewell OPTIONS ({sink} 'warm')",
+    ):
+        statements.run(text)
+    statements.run(f"INSERT INTO {view}_cold SELECT * FROM {view}_source WHERE `current` <= 40")
+    statements.run(f"INSERT INTO {view}_warm SELECT * FROM {view}_stream WHERE `current` > 40").awaitTermination()
+    parts = [lake.table("sinks", name).read().withColumn("part", F.lit(name)) for name in ("cold", "warm")]
+    return _local(parts[0].union(parts[1]))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each reads the given tables as a whole."""
     listed = [
@@ -747,9 +925,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         order_limit,
         time_slices,
         time_slice_single,
+        time_slices_sum,
+        time_slices_ordered,
         tag_slices,
         table_slices,
         per_table_topn,
+        per_table_limit_own_time,
         per_table_latest,
         bounds_zone,
         row_batches,
@@ -769,11 +950,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         table_read_pruned,
         lake_time_slices,
         sink_normal,
+        sink_normal_range,
+        sink_parallelism,
         sink_bind,
         insert_select,
         values_insert,
         coerce_rows,
         coerce_rejects,
+        coerce_write,
         types_roundtrip,
         insert_literals,
         insert_text,
@@ -784,14 +968,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_collapse,
         stream_from_position,
         stream_resume,
+        stream_rejects,
+        stream_decode,
         vgroup_positions,
         open_table_query,
         open_table_stream,
+        open_table_slices,
+        ddl_insert_select,
     ]
     named = {query.__name__: query for query in listed}
     named["open_table"] = named.pop("open_table_query")
     named["insert_statements"] = named.pop("insert_text")
-    if WITH_LLM:
+    if llm_queries:
         named |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     return named
 
@@ -803,4 +991,4 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     """For each key of ``queries()`` the SQL that yields the same rows."""
-    return dict(ORACLES) | (llm_queries.ORACLES if WITH_LLM else {})
+    return dict(ORACLES) | (llm_queries.ORACLES if llm_queries else {})

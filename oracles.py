@@ -67,6 +67,43 @@ ORACLES: dict[str, str] = {
     "order_limit": _m("SELECT event_id, ts, current, tbname FROM M ORDER BY ts DESC, event_id LIMIT 100"),
     "time_slices": _slices("(epoch_us(ts) - 1704067200000000) // 21600000000"),
     "time_slice_single": _slices("0"),
+    "time_slices_sum": _m(
+        """
+        , W AS (SELECT unnest(range(0, 88)) AS slice)
+        SELECT slice, CAST(SUM(voltage) AS BIGINT) AS sum_voltage, COUNT(event_id) AS row_count
+        FROM W LEFT JOIN M ON slice = (epoch_us(ts) - 1703980800000000) // 28800000000
+          AND ts >= TIMESTAMP '2023-12-31' AND ts < TIMESTAMP '2024-01-29 05:00:00' AND voltage > 50
+        GROUP BY slice
+        """
+    ),
+    "time_slices_ordered": _m(
+        """
+        SELECT event_id, voltage, (epoch_us(ts) - 1704844800000000) // 259200000000 AS slice FROM M
+        WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
+        """
+    ),
+    "per_table_limit_own_time": _m(
+        """
+        SELECT tbname, ts AS at FROM M WHERE tbname IN ('d1', 'd2', 'd3', 'd5', 'd8', 'd13')
+        QUALIFY row_number() OVER (PARTITION BY tbname ORDER BY ts) <= 4
+        """
+    ),
+    "open_table_slices": _m(
+        """
+        SELECT event_id, voltage, groupid FROM K WHERE groupid < 6
+        UNION ALL SELECT event_id, voltage, groupid FROM K WHERE groupid > 3 AND groupid < 8
+        """
+    ),
+    "ddl_insert_select": _m(f"SELECT {_METERS}, CASE WHEN current > 40 THEN 'warm' ELSE 'cold' END AS part FROM K"),
+    "sink_normal_range": """
+        SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_totalprice FROM orders
+        WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1998-06-15'
+    """,
+    "sink_parallelism": _STORED,
+    "stream_decode": _m(
+        "SELECT ts, CAST(event_id AS VARCHAR) AS event_id, CAST(voltage AS SMALLINT) AS voltage,"
+        " concat(location, ' é日') AS place, tbname FROM M"
+    ),
     "tag_slices": _m(
         """
         SELECT CAST(0 AS INTEGER) AS tag_slice, event_id, groupid FROM M WHERE groupid < 6
@@ -189,6 +226,22 @@ ORACLES: dict[str, str] = {
         FROM C WHERE reading > 127 OR bad_code
         """
     ),
+    "coerce_write": _m(
+        _COERCED.replace("FROM M", "FROM K")
+        + """
+        SELECT event_id, reading, CASE WHEN bad_code THEN 'n/a' ELSE CAST(voltage AS VARCHAR) END AS code,
+               concat_ws(',', CASE WHEN reading > 127 THEN 'reading' END, CASE WHEN bad_code THEN 'code' END) AS columns
+        FROM C
+        """
+    ),
+    "stream_rejects": _m(
+        _COERCED.replace("FROM M", "FROM K")
+        + """
+        SELECT event_id, reading, CASE WHEN bad_code THEN 'n/a' ELSE CAST(voltage AS VARCHAR) END AS code,
+               concat_ws(',', CASE WHEN reading > 127 THEN 'reading' END, CASE WHEN bad_code THEN 'code' END) AS columns
+        FROM C
+        """
+    ),
     "types_roundtrip": _m(
         """
         , F AS (SELECT *, event_type <> 'error' AS filled FROM K)
@@ -235,11 +288,10 @@ ORACLES: dict[str, str] = {
     "stream_resume": _STORED,
     "vgroup_positions": _m(
         """
-        , P AS (SELECT *, ts >= TIMESTAMP '2024-01-12' AS news FROM M),
-        Q AS (SELECT *, bool_or(news) OVER (PARTITION BY tbname) AS at_end FROM P)
-        SELECT tbname, CAST(1 AS BIGINT) AS vgroups, COUNT(*) AS row_count,
-               MAX(event_id) FILTER (news = at_end) AS last_id, bool_or(news) AS at_end
-        FROM Q GROUP BY tbname
+        , P AS (SELECT tbname, ts >= TIMESTAMP '2024-01-12' AS news FROM M)
+        SELECT tbname, CAST(1 AS BIGINT) AS vgroups, COUNT(*) + COUNT(*) FILTER (news) AS row_count,
+               2 * COUNT(*) FILTER (news) AS news, true AS dense
+        FROM P GROUP BY tbname
         """
     ),
     "open_table": _m(f"SELECT {_TAGGED} FROM K WHERE current > 90"),

@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tidewell import open_sink, open_table, tables
+from tidewell import fs, open_sink, open_table, tables
 from tidewell.operators import pack_rows
-from tidewell.streaming import positions, run_into_table, stream_into_table
+from tidewell.streaming import run_into_table, stream_into_table
 
 from . import meters
 
@@ -91,22 +91,63 @@ def test_a_topic_is_a_stored_select(lake, source, spark):
     assert spark.table("hot_rows").agg(F.sum("doubled")).first()[0] == 203 * 3 * 2
 
 
-def test_positions_of_a_topic(topic, source, spark, tmp_path):
-    """Writes read at different times: later ones stand later, in one vgroup per sub-table."""
+def test_positions_of_a_topic(lake, spark, tmp_path):
+    """Positions count the rows of a vgroup from 0 without gaps, write after write, also of a write again."""
+    source = lake.create_table("power", meters.spec(order_by=("phase",), buckets=3, numbered=True))
+    topic = lake.create_topic("numbered", source, meters.NAMES)
     group = topic.group("g")
-    last, total = 0, 0
-    for written in (meters.frame(spark, copies=True).count(), 18):
+    written = []
+    for number, (rows, batch) in enumerate(((meters.frame(spark, copies=True), "a"), (meters.frame(spark), "b"), (meters.frame(spark), "b"))):
+        rows = rows.withColumn("ts", F.col("ts") + F.expr(f"interval {number} hours"))
+        source.append(rows, batch=batch)
+        written.append({r["tbname"]: r["count"] for r in rows.groupBy("tbname").count().collect()})
         stream = topic.read(group, "earliest", with_positions=True)
         assert stream.columns == [*meters.NAMES, "vgroup", "position"]
         out = stream.writeStream.format("parquet").option("checkpointLocation", group.checkpoint)
         out.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
-        read = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out")
-        total += written
-        assert positions(read).agg(F.sum("row_count")).first()[0] == total
-        assert read.where(F.col("position") > last).count() == written
-        assert read.groupBy("tbname").agg(F.count_distinct("vgroup").alias("n")).where("n > 1").isEmpty()
-        last = positions(read).agg(F.max("position")).first()[0]
-        source.append(meters.frame(spark))
+        read = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect()
+        assert len(read) == sum(sum(w.values()) for w in written)
+        vgroups = {}
+        for r in read:
+            vgroups.setdefault(r["vgroup"], []).append(r)
+        for among in vgroups.values():
+            among.sort(key=lambda r: r["position"])
+            assert [r["position"] for r in among] == list(range(len(among)))
+            names = {r["tbname"] for r in among}
+            starts = [sum(w[n] for w in written[:k] for n in names) for k in range(len(written))]
+            last = among[starts[-1] :]  # what was written last, in the order of its time
+            for name in names:
+                times = [r["ts"] for r in last if r["tbname"] == name]
+                assert times == sorted(times) and len(times) == written[-1][name]
+        assert len({(r["tbname"], r["vgroup"]) for r in read}) == 2
+    with pytest.raises(ValueError, match="not numbered"):
+        plain = lake.create_table("power", meters.spec("plain"))
+        lake.create_topic("plain", plain).read(group, "earliest", with_positions=True)
+    source.compact()
+    assert source.read().count() == 18 + 12
+
+
+def test_a_group_starts_after_one_number(topic, source, spark):
+    one = meters.frame(spark).limit(1)
+    for i in range(5):
+        source.append(one, batch=f"b{i}")
+    group = topic.group("late")
+    topic.read(group, "latest")
+    assert fs.read_json(spark, group.start_file) == {"reset": "latest", "after": 6}
+    source.append(one, batch="b0")  # written again: the topic sees it, as what comes later
+    query = topic.read(group, "latest").writeStream.format("memory").queryName("late_rows").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("late_rows").count() == 1
+
+
+def test_rejects_of_a_stream(topic, target, spark, tmp_path):
+    group = topic.group("g")
+    voltage = F.when(F.col("tbname") == "d1002", F.lit("high")).otherwise(F.col("voltage").cast("string"))
+    rows = topic.read(group, "earliest").withColumn("voltage", voltage)
+    run_into_table(rows, target, group.checkpoint, rejects=f"file://{tmp_path}/rejects")
+    assert meters.total(target.read()) == 606 * 3
+    rejects = target.read_rejects(f"file://{tmp_path}/rejects", rows.schema).collect()
+    assert len(rejects) == 12 and {(r["voltage"], *r["rejected"]) for r in rejects} == {("high", "voltage")}
 
 
 def test_elements_that_are_batches(topic, target):

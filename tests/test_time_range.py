@@ -31,24 +31,21 @@ def test_without_a_column_there_is_no_window():
 
 
 def test_bounds_of_local_times_millis_and_texts():
-    start, end = datetime(2024, 12, 19, 16, 12, 48), datetime(2024, 12, 19, 19, 12, 48)
-    local = TimeRange.of_local(start, end, "ts", timedelta(hours=1), "Asia/Shanghai")
-    text = TimeRange.of_text(
-        "2024-12-19 16:12:48.000", "2024-12-19 19:12:48.000", "ts", timedelta(hours=1), zone="Asia/Shanghai"
-    )
-    millis = TimeRange.of_millis(1734595968000, 1734606768000, "ts", timedelta(hours=1))
-    assert local == text == millis
-    assert len(local.windows()) == 3
-    here = TimeRange.of_local(start, end, "ts", timedelta(hours=1))
+    start, end = datetime(2023, 3, 5, 21, 30), datetime(2023, 3, 6, 1, 45)
+    local = TimeRange.of_local(start, end, "at", timedelta(minutes=90), "America/Lima")
+    text = TimeRange.of_text("05.03.2023 21:30", "06.03.2023 01:45", "at", timedelta(minutes=90), "%d.%m.%Y %H:%M", "America/Lima")
+    first = 1678069800000  # 2023-03-06 02:30 UTC
+    assert local == text == TimeRange.of_millis(first, first + 255 * 60_000, "at", timedelta(minutes=90))
+    assert [e - s for s, e in local.windows()] == [90 * 60_000, 90 * 60_000, 75 * 60_000]
+    here = TimeRange.of_local(start, end, "at", timedelta(hours=1))
     assert here.start_ms == round(start.timestamp() * 1000)
 
 
 def test_an_offset_in_the_text_decides():
     read = TimeRange.of_text(
-        "2024-12-19 16:12:48 +0000", "2024-12-19 17:12:48 +0000", "ts", timedelta(0), "%Y-%m-%d %H:%M:%S %z",
-        "Asia/Shanghai",
+        "2023-03-05 21:30 -0130", "2023-03-05 23:30 -0130", "at", timedelta(0), "%Y-%m-%d %H:%M %z", "America/Lima"
     )
-    assert read.start_ms == 1734624768000
+    assert read.start_ms == 1678057200000 and read.end_ms - read.start_ms == 2 * HOUR
 
 
 def test_predicates_for_a_database():

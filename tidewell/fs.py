@@ -36,15 +36,27 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another; readers that list folders see it as a whole."""
+    """Put a folder where there is none; readers that list folders see it as a whole. A move that
+    another process has made meanwhile is as good."""
     file_system, hadoop_path = _resolve(spark, source)
     _, place = _resolve(spark, target)
-    file_system.delete(place, True)
     file_system.mkdirs(place.getParent())
-    if not file_system.rename(hadoop_path, place):
+    try:
+        moved = file_system.rename(hadoop_path, place)
+    except Py4JJavaError:
+        moved = False
+    if not moved and not (file_system.exists(place) and not file_system.exists(hadoop_path)):
         raise OSError(f"{source} can't be moved to {target}")
 
 
+def rename(spark: SparkSession, path: str, name: str) -> None:
+    """Another name for a file in its folder."""
+    file_system, hadoop_path = _resolve(spark, path)
+    _, place = _resolve(spark, f"{path.rsplit('/', 1)[0]}/{name}")
+    if not file_system.rename(hadoop_path, place):
+        raise OSError(f"{path} can't be renamed")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _resolve(spark, path)
     file_system.mkdirs(hadoop_path)
@@ -71,16 +83,41 @@ def claim(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def write_json(spark: SparkSession, path: str, value) -> None:
-    """Write a new file in one step: readers see all of it or nothing."""
-    file_system, target = _resolve(spark, path)
+def publish_json(spark: SparkSession, path: str, value) -> bool:
+    """Write a file that must be new, in one step; false if there is one already, which stays."""
+    _, target = _resolve(spark, path)
+    staged = _staged_json(spark, path, value)
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsparkSession.sessionState().newHadoopConf()
+    )
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(staged, target, options)
+    except Py4JJavaError:
+        file_system, _ = _resolve(spark, path)
+        if not file_system.exists(target):
+            raise
+        file_system.delete(staged, False)
+        return False
+    return True
+
+
+def _staged_json(spark: SparkSession, path: str, value):
     folder, name = path.rsplit("/", 1)
-    _, staged = _resolve(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    file_system, staged = _resolve(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
     stream = file_system.create(staged)
     try:
         stream.write(json.dumps(value).encode("utf-8"))
     finally:
         stream.close()
+    return staged
+
+
+def write_json(spark: SparkSession, path: str, value) -> None:
+    """Write a new file in one step: readers see all of it or nothing."""
+    file_system, target = _resolve(spark, path)
+    staged = _staged_json(spark, path, value)
     if not file_system.rename(staged, target):
         file_system.delete(staged, False)
         raise FileExistsError(path)

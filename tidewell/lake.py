@@ -54,7 +54,8 @@ class Lake:
         code = " ".join(part for part, is_code in parts if is_code)
         used = {name: self.table(database, name).read() for name in self._table_names(database) if names(code, name)}
         for name in used:
-            qualified = rf"(?<![\w`.])`?{re.escape(database)}`?\s*\.\s*(`?){re.escape(name)}\1(?!\w)"
+            database_name, table = re.escape(database), re.escape(name)
+            qualified = rf"(?<![\w`.])(?:`{database_name}`|{database_name})\s*\.\s*(?:`{table}`|{table}(?![\w`]))"
             parts = [(re.sub(qualified, f"`{name}`", part) if is_code else part, is_code) for part, is_code in parts]
         return "".join(part for part, _ in parts), used
 
@@ -73,8 +74,8 @@ class Lake:
             text, used = self._prepared(database, request.sql)
             return scan(self.spark, replace(request, sql=text), used)
         store = self.table(database, request.table)
-        if request.tables is not None and request.limit is not None and not request.order_by:
-            request = replace(request, order_by=(store.spec.time,))
+        if not request.time_column:
+            request = replace(request, time_column=f"`{store.spec.time}`")
         start = end = None
         time = request.time
         if time is not None and not time.empty and time.column == store.spec.time and request.limit is None:

@@ -63,7 +63,8 @@ class TableSpec:
     many sub-tables, names the sub-table of each row in ``tbname`` and is keyed by
     (``tbname``, ``ts``). A *normal table* has neither tags nor ``tbname`` and is keyed only if
     ``key`` says so. Among rows with an equal key the one with the largest ``order_by`` wins;
-    the remaining columns decide a tie, so the winner never depends on the run.
+    the remaining columns decide a tie, so the winner never depends on the run. The rows of a
+    ``numbered`` table have positions in their bucket, which topics can tell.
     """
 
     name: str
@@ -76,6 +77,7 @@ class TableSpec:
     period: str = "day"
     fixed_tags: bool = False
     distinct_order: bool = False
+    numbered: bool = False
 
     def __post_init__(self):
         if self.period not in PERIODS:
@@ -107,10 +109,24 @@ class TableSpec:
     @property
     def layout(self) -> dict[str, Column]:
         """Directory columns of the stored table, each a function of the row key."""
+        if not self.timed:
+            return {}
+        period = {"period": period_of(F.col(self.time), self.period)}
+        return period | {"bucket": bucket_of(F.col(TBNAME), self.buckets)} if self.super_table else period
+
+    @property
+    def timed(self) -> bool:
+        """Whether rows are laid out by their time: it must not differ between rows with an equal key."""
+        timed = any(c.name == self.time and c.dataType == T.TimestampType() for c in self.columns)
+        return timed and (not self.key or self.time in self.key)
+
+    @property
+    def file_options(self) -> dict[str, str]:
+        """Where a file has too many sub-tables for a dictionary, a Bloom filter of their names lets a
+        list of them skip row groups; its size follows their number."""
         if not self.super_table:
             return {}
-        period = period_of(F.col(self.time), self.period)
-        return {"period": period, "bucket": bucket_of(F.col(TBNAME), self.buckets)}
+        return {f"parquet.bloom.filter.enabled#{TBNAME}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
     def to_json(self) -> dict:
         return {
@@ -124,6 +140,7 @@ class TableSpec:
             "period": self.period,
             "fixed_tags": self.fixed_tags,
             "distinct_order": self.distinct_order,
+            "numbered": self.numbered,
         }
 
     @staticmethod
@@ -139,6 +156,7 @@ class TableSpec:
             value["period"],
             value["fixed_tags"],
             value["distinct_order"],
+            value["numbered"],
         )
 
 

@@ -1,7 +1,7 @@
 """Operators: each takes DataFrames and returns a DataFrame, lazily."""
 
 from .batches import pack_rows, unpack_rows
-from .binding import bind_rows, split_rejects
+from .binding import bind_rows, check_rows, split_rejects
 from .collapse import collapse_rows
 from .numbering import number_rows
 from .records import map_records
@@ -9,6 +9,7 @@ from .slices import read_tables, slice_by_tags, slice_by_time, top_per_table
 
 __all__ = [
     "bind_rows",
+    "check_rows",
     "collapse_rows",
     "map_records",
     "number_rows",

@@ -115,7 +115,11 @@ def checked(column: Column, source: T.DataType, target: T.StructField) -> Column
 
 
 def bind_rows(
-    df: DataFrame, spec: TableSpec, fields: Sequence[str] | None = None, by: str = "name"
+    df: DataFrame,
+    spec: TableSpec,
+    fields: Sequence[str] | None = None,
+    by: str = "name",
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Rows in the column order and the types of the target, ready to be written.
 
@@ -123,6 +127,7 @@ def bind_rows(
     each from the source column of that name; ``by="position"`` takes the source columns as
     they come, as ``INSERT INTO ... SELECT`` does, and needs as many as are bound. Columns of
     the target that are not bound are NULL. Names and arity are checked before any row moves.
+    Columns ``kept`` of rows bound by name stay behind the target's.
     """
     bound = resolve_fields(spec, fields)
     if by == "position":
@@ -132,7 +137,7 @@ def bind_rows(
         missing = [f.name for f in bound if f.name not in df.columns]
         if missing:
             raise ValueError(f"the rows have no column {', '.join(map(repr, missing))}")
-        named = df.select(*[F.col(f"`{f.name}`") for f in bound])
+        named = df.select(*[F.col(f"`{name}`") for name in [*[f.name for f in bound], *kept]])
     else:
         raise ValueError("rows are bound by 'name' or by 'position'")
     absent = [k for k in spec.key if k not in named.columns]
@@ -148,7 +153,59 @@ def bind_rows(
         else:
             value = F.lit(None).cast(target.dataType)
         columns.append(value.alias(target.name, metadata=target.metadata or {}))
-    return named.select(*columns)
+    return named.select(*columns, *kept)
+
+
+def _computed_once(df: DataFrame, listed: Sequence[str]) -> DataFrame:
+    """Passing columns through a generator keeps the optimizer from copying the expressions they come
+    from into each condition on them."""
+    if not listed:
+        return df
+    others = [F.col(f"`{c}`") for c in df.columns if c not in listed]
+    once = F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in listed])))
+    return df.select(*others, once).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _failures(failed: dict[str, Column]) -> tuple[Column, Column]:
+    """Whether any condition holds, and the names of those that do."""
+    any_failed = F.lit(False)
+    for condition in failed.values():
+        any_failed = any_failed | condition
+    names = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in failed.items()]))
+    return any_failed, names.cast("array<string>")
+
+
+RAW = "_raw"
+
+
+def check_rows(df: DataFrame, spec: TableSpec, out: str = "rejected") -> DataFrame:
+    """Rows bound by name and ready to be written, good and bad ones in one frame.
+
+    The target's columns come first; a row with a value that does not convert has NULL there, the
+    row as it came in ``_raw``, and the names of the columns at fault in ``out``. Both are NULL in good
+    rows. Columns of the target that the rows do not have are NULL.
+    """
+    absent = [k for k in spec.key if k not in df.columns]
+    if absent:
+        raise ValueError(f"table {spec.name!r} needs its key column {', '.join(map(repr, absent))}")
+    place = {f.name: (i, f.dataType) for i, f in enumerate(df.schema.fields)}
+    df = _computed_once(df, [f.name for f in spec.schema.fields if f.name in place])
+    columns, failed = [], {}
+    for target in spec.schema.fields:
+        value: Column = F.lit(None).cast(target.dataType)
+        if target.name in place:
+            index, data_type = place[target.name]
+            value, lost = _convert(index, F.col(f"`{target.name}`"), data_type, target)
+            if lost is not None:
+                failed[target.name] = lost
+        columns.append((target, value))
+    any_failed, names = _failures(failed)
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(
+        *[F.when(~any_failed, v).alias(t.name, metadata=t.metadata or {}) for t, v in columns],
+        F.when(any_failed, raw).alias(RAW),
+        F.when(any_failed, names).alias(out),
+    )
 
 
 def split_rejects(
@@ -160,13 +217,7 @@ def split_rejects(
     Both are lazy and read the input on their own; persist it first if it is costly.
     """
     target = {f.name: f for f in fields}
-    listed = [c for c in df.columns if c in target]
-    if listed:
-        # Passing the listed columns through a generator keeps the optimizer from copying the
-        # expressions they come from into each of the conditions below.
-        others = [F.col(f"`{c}`") for c in df.columns if c not in target]
-        once = F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in listed])))
-        df = df.select(*others, once).select(*[F.col(f"`{c}`") for c in df.columns])
+    df = _computed_once(df, [c for c in df.columns if c in target])
     good, failed = [], {}
     for index, source in enumerate(df.schema.fields):
         column = F.col(f"`{source.name}`")
@@ -175,9 +226,6 @@ def split_rejects(
             if lost is not None:
                 failed[source.name] = lost
         good.append(column.alias(source.name))
-    any_failed = F.lit(False)
-    for condition in failed.values():
-        any_failed = any_failed | condition
-    names = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in failed.items()]))
-    rejects = df.where(any_failed).withColumn(out, names.cast("array<string>"))
+    any_failed, names = _failures(failed)
+    rejects = df.where(any_failed).withColumn(out, names)
     return df.where(~any_failed).select(*good), rejects

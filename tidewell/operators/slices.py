@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..model import TBNAME
 from ..plans.time_range import TimeRange
@@ -60,17 +60,13 @@ def read_tables(
     """The rows of the listed sub-tables. A sub-table listed twice is read twice.
 
     ``tables`` is a list of names, or a frame with a column ``name`` when the list itself is
-    data; its names are then looked up first, up to a bound.
+    data; it is then joined, and run-time sizes decide how.
     """
     if isinstance(tables, DataFrame):
         # as in any equality, NULL is no name
         listed = tables.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_times"))
-        few = listed.limit(LISTED_NAMES + 1).collect()
-        if len(few) > LISTED_NAMES:
-            return _join_listed(df, listed, name)
-        times = {row[name]: row["_times"] for row in few}
-    else:
-        times = Counter(tables)
+        return _join_listed(df, listed, name)
+    times = Counter(tables)
     if len(times) <= IN_LIST_NAMES:
         chosen = df.where(F.col(name).isin(list(times)) if times else F.lit(False))
         repeated = {n: c for n, c in times.items() if c > 1}
@@ -89,11 +85,14 @@ def _repeat(df: DataFrame, times: Column) -> DataFrame:
 
 
 def _join_listed(df: DataFrame, listed: DataFrame, name: str) -> DataFrame:
-    """Both sides shuffled by name and salt, so that one large sub-table spreads over many
-    tasks; adaptive execution splits what is still too large."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int"))
+    """A list of any length. At run time a short one is sent to every task; else both sides are shuffled
+    by name and salt, so that one large sub-table spreads over many tasks."""
+    hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    if not hashed:
+        hashed = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(SALTS)).cast("int"))
     copies = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return _repeat(salted.join(copies, [name, "_salt"]), F.col("_times")).select(*df.columns)
+    return _repeat(salted.join(copies, [name, "_salt"]), F.col("_times")).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def top_per_table(df: DataFrame, limit: int, order_by: Sequence[str], name: str = TBNAME) -> DataFrame:

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
+
+from .request import ScanRequest
+from .time_range import TimeRange
 
 # Option names and their defaults (None: no default).
 OPTION_DEFAULTS: dict[str, str | None] = {
@@ -42,6 +46,19 @@ OPTION_DEFAULTS: dict[str, str | None] = {
     "sink.parallelism": None,
 }
 
+# Options of our own that slice a bounded read: by windows of a time column (bounds as local times or
+# epoch milliseconds, the interval in milliseconds), by predicates on tags, or by sub-tables.
+SLICE_OPTIONS: dict[str, str | None] = {
+    "scan.time.column": None,
+    "scan.time.start": None,
+    "scan.time.end": None,
+    "scan.time.interval": "0",
+    "scan.time.zone": "UTC",
+    "scan.tags": None,  # separated by semicolons
+    "scan.tables": None,  # separated by commas
+    "scan.partitions": "64",
+}
+
 # Options that belong to the connection: a JDBC driver gets the ones the user set, untouched.
 CONNECTION_OPTIONS = (
     "host",
@@ -68,13 +85,13 @@ class TableOptions:
     given: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
-        unknown = sorted(set(self.given) - set(OPTION_DEFAULTS))
+        unknown = sorted(set(self.given) - set(OPTION_DEFAULTS) - set(SLICE_OPTIONS))
         if unknown:
             raise ValueError(f"unknown table options: {', '.join(unknown)}")
 
     def get(self, name: str) -> str | None:
         value = self.given.get(name)
-        return OPTION_DEFAULTS[name] if value is None else str(value)
+        return (OPTION_DEFAULTS | SLICE_OPTIONS)[name] if value is None else str(value)
 
     def flag(self, name: str) -> bool:
         return (self.get(name) or "").strip().lower() == "true"
@@ -109,6 +126,33 @@ class TableOptions:
     def check_source(self) -> None:
         self._require("td.jdbc.url", "scan.query")
         self._batch_size()
+        self.request()
+
+    def request(self) -> ScanRequest:
+        """The bounded read: the query, and the slices it is read in, if the options ask for any."""
+        ways = [way for way in ("scan.time.column", "scan.tags", "scan.tables") if self.get(way)]
+        if len(ways) > 1:
+            raise ValueError(f"a read is sliced one way, not by {' and '.join(ways)}")
+        if (self.number("scan.partitions") or 0) < 1:
+            raise ValueError("option 'scan.partitions' must be at least 1")
+        time = tags = tables = None
+        if self.get("scan.time.column"):
+            self._require("scan.time.start", "scan.time.end")
+            start, end = (self._bound(name) for name in ("scan.time.start", "scan.time.end"))
+            time = TimeRange(start, end, self.get("scan.time.column"), self.number("scan.time.interval"))
+        if self.get("scan.tags"):
+            tags = tuple(tag.strip() for tag in self.get("scan.tags").split(";") if tag.strip())
+        if self.get("scan.tables"):
+            tables = tuple(name.strip() for name in self.get("scan.tables").split(",") if name.strip())
+        return ScanRequest(sql=self.get("scan.query"), time=time, tags=tags, tables=tables)
+
+    def _bound(self, name: str) -> int:
+        """Epoch milliseconds of a bound."""
+        text = self.get(name)
+        if text.lstrip("-").isdigit():
+            return int(text)
+        moment = datetime.fromisoformat(text)
+        return TimeRange.of_local(moment, moment, "", timedelta(0), self.get("scan.time.zone")).start_ms
 
     def check_cdc(self) -> None:
         self._require("topic", "group.id")

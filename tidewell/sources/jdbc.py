@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..model import TBNAME
 from ..operators.slices import top_per_table
-from ..plans.request import ScanRequest
+from ..plans.request import ScanRequest, dealt
+from .scan import time_column
 
 
 def read_jdbc(
@@ -33,23 +35,42 @@ def read_jdbc(
     return spark.read.jdbc(url, f"({query}) q", predicates=list(predicates), properties=settings)
 
 
+#: Partitions, and so connections at a time, of a sliced read.
+PARTITIONS = 64
+
+
 def scan_jdbc(
-    spark: SparkSession, url: str, request: ScanRequest, options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    request: ScanRequest,
+    options: Mapping[str, str] | None = None,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """The rows a request asks for, from a database that cuts them into the request's slices.
 
-    Every slice is one partition: a window, a tag predicate or a sub-table, so a row that matches
-    two predicates comes twice. With a list of sub-tables ``order_by`` and ``limit`` hold for each of
-    them, on the columns of the request and the sub-table name.
+    Any number of windows, tag predicates or sub-tables is read in about ``partitions`` partitions, each
+    of which asks for several of them. A row that matches two predicates comes twice. With a list of
+    sub-tables ``order_by`` and ``limit`` hold for each of them, on the columns of the request and the
+    sub-table name.
     """
+    if request.tags is not None and len(request.tags) > partitions:
+        query = request.sql_text()
+        parts = [
+            " union all ".join(f"select * from ({query}) q where {tag}" for tag in tags)
+            for tags in dealt(list(request.tags), partitions)
+        ]
+        return reduce(DataFrame.union, [read_jdbc(spark, url, part, options=options) for part in parts])
     if request.tables is None:
-        return read_jdbc(spark, url, request.sql_text(), request.predicates(), options)
-    query = f"select {TBNAME}, {request.select} from {request.table}" if request.select != "*" else (
-        f"select * from {request.table}"
-    )
-    if request.where:
-        query += f" where {request.where}"
-    rows = read_jdbc(spark, url, query, request.predicates(), options)
+        return read_jdbc(spark, url, request.sql_text(), request.predicates(partitions), options)
+    if request.sql:
+        query = request.sql
+    else:
+        query = f"select {TBNAME}, {request.select} from {request.table}" if request.select != "*" else (
+            f"select * from {request.table}"
+        )
+        if request.where:
+            query += f" where {request.where}"
+    rows = read_jdbc(spark, url, query, request.predicates(partitions), options)
     if request.limit is not None:
-        rows = top_per_table(rows, request.limit, request.order_by or ("ts",))
-    return rows if request.select == "*" else rows.drop(TBNAME)
+        rows = top_per_table(rows, request.limit, request.order_by or (time_column(request, rows),))
+    return rows if request.sql or request.select == "*" else rows.drop(TBNAME)

@@ -22,6 +22,7 @@ def stream_into_table(
     output_mode: str = "append",
     after_write: Callable[[int], None] | None = None,
     writers: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Start a stream that writes each micro-batch as one batch of the table.
 
@@ -32,14 +33,19 @@ def stream_into_table(
 
     ``packed`` names a column of row batches to unpack. With ``poll_ms`` the stream runs until
     it is stopped; without, it reads what is there and ends. ``after_write`` is called between
-    the write and the record of progress. ``writers`` is the number of tasks that write a micro-batch.
+    the write and the record of progress. ``writers`` is the number of tasks that write a micro-batch. With ``rejects`` rows that
+    don't convert go below that folder instead of stopping the stream.
     """
     def write(rows: DataFrame, number: int) -> None:
         stream_id = fs.read_json(table.spark, f"{checkpoint}/metadata")["id"]
         if packed is not None:
             rows = unpack_rows(rows, packed)
         batch = f"{stream_id}-{number}"
-        if not table.folded(batch):  # else a replay of what a compaction has taken already
+        if table.folded(batch):  # a replay of what a compaction has taken already
+            pass
+        elif rejects is not None:
+            table.append_checked(rows, rejects, batch, writers)
+        else:
             table.append(rows, batch=batch, fields=fields, writers=writers)
         if after_write is not None:
             after_write(number)

@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fs
-from ..sinks.store import WRITE, TableStore
+from ..sinks.store import BATCH, COMMIT, TableStore
 
 
 @dataclass(frozen=True)
@@ -71,28 +71,33 @@ class Topic:
         (such as ``"500g"``) bounds a micro-batch, so that a long history comes in steps that
         are recorded one by one.
 
-        ``with_positions`` adds where each row stands: its ``vgroup``, the bucket that all rows of
-        its sub-table share, and its ``position`` there, the time of the write in nanoseconds. All
-        rows of a write have one position; those of later writes have larger ones.
+        ``with_positions`` adds where each row of a numbered table stands: its ``vgroup``, the bucket that
+        all rows of its sub-table share, and its ``position`` there. Positions count every row that was
+        written from 0, without gaps, later writes after earlier ones; a topic with a condition shows
+        some of them.
         """
         stored = fs.read_json(self.spark, f"{self.path}/topic.json")
         table = TableStore.open(self.spark, stored["table"])
-        skipped = self._skipped(group, reset, table)
+        if with_positions and not table.spec.numbered:
+            raise ValueError(f"table {table.spec.name!r} is not numbered, so its rows have no positions")
+        after = self._start(group, reset, table)
 
-        layout = [T.StructField(WRITE, T.LongType()), T.StructField("_batch", T.StringType())]
-        if table.spec.layout:
-            layout += [T.StructField("period", T.DateType()), T.StructField("bucket", T.IntegerType())]
+        layout = [T.StructField(COMMIT, T.LongType()), T.StructField(BATCH, T.StringType())]
+        types = {"period": T.DateType(), "bucket": T.IntegerType()}
+        layout += [T.StructField(name, types[name]) for name in table.spec.layout]
         reader = self.spark.readStream.schema(T.StructType([*table.spec.schema.fields, *layout]))
         if files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         if bytes_per_batch is not None:
             reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
         rows = reader.parquet(f"{table.path}/log")
-        if skipped:
-            rows = rows.where(~F.col("_batch").isin(skipped))
+        if after:
+            rows = rows.where(F.col(COMMIT) > after)
         columns = [F.col(f"`{name}`") for name in table.spec.schema.names]
-        vgroup = F.col("bucket") if table.spec.layout else F.lit(0)
-        rows = rows.select(*columns, vgroup.alias("_vgroup"), F.col(WRITE).alias("_position"))
+        if with_positions:
+            vgroup = F.col("bucket") if table.spec.super_table else F.lit(0)
+            columns += [vgroup.alias("_vgroup"), _position().alias("_position")]
+        rows = rows.select(*columns)
         if stored["where"]:
             rows = rows.where(stored["where"])
         every = [f"`{name}`" for name in table.spec.schema.names]
@@ -100,14 +105,17 @@ class Topic:
         places = ["_vgroup AS vgroup", "_position AS position"] if with_positions else []
         return rows.selectExpr(*chosen, *places)
 
-    def _skipped(self, group: ConsumerGroup, reset: str, table: TableStore) -> list[str]:
-        """Batches that were there before the group's first start, if it starts with the latest.
-
-        Their names come from a folder listing; no data is read.
-        """
+    def _start(self, group: ConsumerGroup, reset: str, table: TableStore) -> int:
+        """The commit a group starts after: 0 for all history, the last one at its first start for the latest."""
         if reset not in ("earliest", "latest"):
             raise ValueError(f"a topic starts at 'earliest' or 'latest', not at {reset!r}")
         if not fs.exists(self.spark, group.start_file):
-            skipped = table.batches() if reset == "latest" else []
-            fs.write_json(self.spark, group.start_file, {"reset": reset, "skipped": skipped})
-        return fs.read_json(self.spark, group.start_file)["skipped"]
+            after = table.last_commit() if reset == "latest" else 0
+            fs.publish_json(self.spark, group.start_file, {"reset": reset, "after": after})
+        return fs.read_json(self.spark, group.start_file)["after"]
+
+
+def _position() -> Column:
+    """Where a row stands: its file's first row, as the name says, and its place in the file."""
+    first = F.regexp_extract("_metadata.file_name", r"^at(\d+)-", 1).cast("long")
+    return first + F.col("_metadata.row_index")

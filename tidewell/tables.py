@@ -24,7 +24,7 @@ from .operators.records import map_records
 from .plans.options import TableOptions
 from .sinks.jdbc import write_jdbc
 from .sinks.store import TableStore
-from .sources.jdbc import read_jdbc
+from .sources.jdbc import scan_jdbc
 from .streaming.pipeline import start_stream, stream_into_table
 from .streaming.topics import ConsumerGroup
 
@@ -59,7 +59,8 @@ def open_table(
     """The rows of a declared table: a batch frame in mode ``source``, a stream in mode ``cdc``.
 
     ``schema`` is the declared table; columns are matched by name and decoded to its types, or
-    made by the user's ``convert``, if one is given. With ``td.batch.mode`` an element is an
+    made by the user's ``convert``, if one is given. Options ``scan.time.*``, ``scan.tags`` or
+    ``scan.tables`` slice a bounded read. With ``td.batch.mode`` an element is an
     array of up to ``batch.size`` rows. ``view`` names a view for ``spark.sql``.
     """
     opts = TableOptions(options)
@@ -79,11 +80,13 @@ def open_table(
 
 
 def _open_source(spark: SparkSession, opts: TableOptions) -> DataFrame:
-    url, query = opts.get("td.jdbc.url"), opts.get("scan.query")
+    url, request = opts.get("td.jdbc.url"), opts.request()
     if _is_jdbc(url):
-        return read_jdbc(spark, url, query, options=opts.connection)
+        return scan_jdbc(spark, url, request, opts.connection, opts.number("scan.partitions"))
     lake, database = _lake_and_database(spark, url, opts.get("dbname"))
-    return lake.sql(database, query)
+    rows = lake.scan(database, request)
+    # the table is the slices one after the other: windows and predicates only say which rows
+    return rows if request.time is None and request.tags is None else rows.drop("slice")
 
 
 def _topic_group(spark: SparkSession, opts: TableOptions):
