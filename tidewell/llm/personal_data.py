@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ._common import LOWER, SPACE, UPPER, ascii_lower, stored, whole_text
+from ._common import LOWER, UPPER, stored, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 #: The share of an entity's information beyond which a word discloses it.
@@ -33,6 +34,8 @@ WINDOW = 8
 PREFIX = 3
 GENERAL = "*"  # begins general forms; no trimmed word does
 LEAST_LETTERS = 3
+#: Words that a task counts or remembers at a time.
+REMEMBERED = 1 << 18
 
 #: The forms of the four kinds. Possessive runs match what greedy ones would, in linear time.
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
@@ -205,12 +208,46 @@ def find_entities(docs: DataFrame, carried: dict[str, Column], text_col: str) ->
     return stored(rows.mapInArrow(_scan(list(carried)), schema), "personal_data")
 
 
+class _Forms:
+    """The bare and the general form of words as they stand in texts, remembered up to a bound."""
+
+    def __init__(self):
+        self._known: dict[str, tuple[str, str]] = {}
+
+    def __call__(self, word: str) -> tuple[str, str]:
+        known = self._known.get(word)
+        if known is None:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            bare = word.translate(_LOWER).strip(string.punctuation)
+            known = self._known[word] = (bare, general(bare))
+        return known
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the documents of a task, passed on whenever there are many words."""
+    forms, counts = _Forms(), Counter()
+
+    def told() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_pydict(
+            {"term": pa.array(counts.keys(), pa.string()), "documents": pa.array(counts.values(), pa.int64())}
+        )
+        counts.clear()
+        return batch
+
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            words = {word for word in _WORD.findall(text) if len(word) >= LEAST_LETTERS}
+            counts.update({form for word in words for form in forms(word)})
+            if len(counts) >= REMEMBERED:
+                yield told()
+    yield told()
+
+
 def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """term, documents: of every word and every general form the number of documents that have it."""
-    words = F.filter(F.split(ascii_lower(whole_text(text_col)), SPACE, -1), lambda w: F.length(w) >= LEAST_LETTERS)
-    bare = F.array_distinct(F.transform(words, lambda w: F.btrim(w, F.lit(string.punctuation))))
-    forms = F.array_distinct(F.concat(bare, F.transform(bare, _general)))
-    return docs.select(F.explode(forms).alias("term")).groupBy("term").agg(F.count("*").alias("documents"))
+    counted = docs.select(whole_text(text_col).alias("text")).mapInArrow(_count, "term string, documents long")
+    return counted.groupBy("term").agg(F.sum("documents").alias("documents"))
 
 
 def disclosing_terms(
