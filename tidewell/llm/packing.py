@@ -21,7 +21,7 @@ SEQUENCE = 2048
 #: Sequences a task holds open, and pieces that it takes on average, 24 bytes each.
 OPEN, PIECES_PER_TASK = 16_384, 20_000
 #: Parts, and words, whose ids a worker remembers; when full it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 1_000_000
 #: Texts that are tokenized together.
 TEXTS_AT_ONCE = 256
 #: Closing marks of a part: ASCII signs that the tokenizer keeps apart from letters. A quote is not
