@@ -24,7 +24,7 @@ CUTOFFS = {
     "long_words": (80, 90, 100, 110, 120, 150),  # characters per 10 words
 }
 #: Share of good documents that one rule may reject, and the chance that any rule in use rejects more.
-RATE, ERROR = 0.002, 0.05
+RATE, ERROR = 0.02, 0.05
 #: Words of a window.
 WINDOW = 5
 
@@ -55,7 +55,7 @@ def repeated_words(hashes: str, size: str) -> tuple[Column, Column]:
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """One row per document: doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_lines, n_capitals, base_failed. A null text has no words, a null stratum is ''."""
+    n_repeat_words, n_lines, n_capitals, base_failed, text_hash. A null text has no words, a null stratum is ''."""
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
     windows = F.when(
         F.col("n_words") >= WINDOW,
@@ -80,6 +80,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", str
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda word: F.xxhash64(word)).alias("word_hashes"),
+        F.xxhash64("text").alias("text_hash"),
     )
     rows = rows.withColumn("windows", windows)
     placed, covered = repeated_words("windows", "placed")
@@ -95,6 +96,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", str
         "n_lines",
         "n_capitals",
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
+        "text_hash",
     )
 
 
@@ -182,18 +184,21 @@ def judge(
 ) -> DataFrame:
     """The measures of every document and ``kept``: false if base_failed or a rule in use rejects it.
 
-    ``labels`` has (doc_id, quality); rows with quality 1 of documents that pass the base rules are
-    the holdout, each label counting once. Null ids match no label. A null text has no words and
+    ``labels`` has (doc_id, quality). The holdout are documents that pass the base rules, with labels of
+    quality 1 and no lower one; the bound is for independent draws, so a document that is labelled again,
+    and a text that stands in the stratum again, counts once. Null ids match no label. A null text has no words and
     fails the base rules; a null stratum is a stratum of its own. Repeated rows get the same verdict.
     Without labels only the base rules reject. Empty tables give no rows.
     """
     measured = stored(measure(docs, id_col, text_col, stratum_col), "measures")
-    good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("labelled"))
+    least = labels.groupBy(F.col("doc_id").alias("labelled")).agg(F.min("quality").alias("quality"))
+    good = least.filter("quality = 1").select("labelled")
     holdout = measured.filter("not base_failed").join(good, F.col("doc_id") == F.col("labelled"))
+    holdout = holdout.dropDuplicates(["stratum", "text_hash"])
     cuts = stored(safe_cutoffs(holdout, cutoffs, rate, error), "cutoffs")
     rejected = F.lit(False)
     for rule, score in scores().items():
         rejected = rejected | F.coalesce(score >= F.element_at("cuts", rule), F.lit(False))
     return measured.join(cuts, "stratum", "left").select(
-        *measured.columns, (~F.col("base_failed") & ~rejected).alias("kept")
+        *[c for c in measured.columns if c != "text_hash"], (~F.col("base_failed") & ~rejected).alias("kept")
     )

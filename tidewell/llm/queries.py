@@ -144,14 +144,15 @@ WITH d AS (
 ), repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM windows) WHERE c > 1
 ), covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS j FROM repeated) GROUP BY r
 ), m AS (
-  SELECT d.r, doc_id, stratum, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  SELECT d.r, doc_id, stratum, text, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals,
          len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words,
          len(w) < 10 OR 100 * coalesce(c.n, 0) > 20 * len(w) AS base_failed
   FROM d LEFT JOIN covered c ON c.r = d.r
-), good AS (SELECT m.* FROM m JOIN labels l ON l.doc_id = m.doc_id WHERE l.quality = 1 AND NOT base_failed
+), good AS (SELECT DISTINCT m.* EXCLUDE (r, doc_id) FROM m
+  JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) l ON l.doc_id = m.doc_id WHERE NOT base_failed
 ), tests AS ({_TESTS}
 ), tails AS (
   SELECT *, CASE WHEN k > n * {quality.RATE} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
