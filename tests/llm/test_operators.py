@@ -116,6 +116,35 @@ def test_quality_cutoffs_follow_the_labels(spark):
     assert all(few.values())  # too few labels guarantee nothing, so no rule is used
 
 
+def test_quality_rules_of_given_labels(spark):
+    """The labels at hand certify rules; these reject bad documents and few good ones."""
+    big = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{big}/labels.parquet")
+    judged = quality.judge(spark.read.parquet(f"{big}/documents.parquet"), labels).filter("not base_failed")
+    rows = judged.join(labels, "doc_id").groupBy("stratum", "quality").agg({"*": "count"}).collect()
+    total = {(r.stratum, r.quality): r["count(1)"] for r in rows}
+    rejected = judged.filter("not kept").join(labels, "doc_id").groupBy("stratum", "quality").count().collect()
+    gone = {(r.stratum, r.quality): r["count"] for r in rejected}
+    bad = sum(n for (_, q), n in total.items() if q == 0)
+    assert sum(n for (_, q), n in gone.items() if q == 0) > bad / 2
+    for (stratum, label), n in gone.items():
+        if label == 1:
+            assert n <= 5 * quality.RATE * total[stratum, 1]
+
+
+def test_a_text_counts_once_in_the_holdout(spark):
+    text = "some plain words of one text that pass the base rules without any trouble"
+    rows = [(i, f"{text} {i % 30}", "en") for i in range(3000)] + [(9999, "### " * 3 + text, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    good = [(i, 1) for i in range(3000)]
+    judged = quality.judge(docs, spark.createDataFrame(good, "doc_id long, quality int"))
+    assert judged.filter("doc_id = 9999").first().kept  # 30 texts certify nothing
+    distinct = spark.createDataFrame([(i, f"{text} {i}", "en") for i in range(3000)] + rows[-1:], docs.schema)
+    for labels, kept in ((good, False), (good[:300] * 10, True), (good + [(i, 0) for i in range(2900)], True)):
+        judged = quality.judge(distinct, spark.createDataFrame(labels, "doc_id long, quality int"))
+        assert judged.filter("doc_id = 9999").first().kept is kept
+
+
 def test_mixing(table):
     mix, measured = mixing.mix_documents(table, block_words=64, shard_blocks=8)
     rows = {r.row: r for r in measured.collect()}
@@ -166,6 +195,54 @@ def test_mixed_texts(table):
     assert abs(sum(len(WORD.findall(r.text)) for r in out.collect()) - words) <= 30
 
 
+def test_the_tree_deals_out_the_blocks(spark):
+    """Every shard holds the blocks of each source that the tree gives it, and the texts follow it."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20 + i * 37 % 150)), "en", f"s{i % 3}", 0) for i in range(300)]
+    rows += [(None, "a b c d", "en", "s0", 0)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    options = {"block_words": 64, "shard_blocks": 16}
+    mix, measured = mixing.mix_documents(docs, **options)
+    parts = mix.join(measured, "row").collect()
+    targets = {r.source: r.target for r in parts}
+    sources = sorted(targets)
+    blocks = np.array([-(-round(targets[s]) // 64) for s in sources])
+    shards = -(-int(blocks.sum()) // 16)
+    words = Counter()
+    for r in parts:
+        words[r.shard, r.source] += r.to_word - r.from_word
+    quotas = mixing.shard_quotas(blocks, shards, 0, shards, mixing.SEED)
+    assert shards > 10 and len({tuple(q[1]) for q in quotas}) > 3  # the draws differ from shard to shard
+    for shard in range(shards):
+        assert [-(-words[shard, s] // 64) for s in sources] == quotas[shard][1].tolist()
+    first = {}
+    for r in parts:
+        first[r.row, r.copy] = min(first.get((r.row, r.copy), (1 << 60,)), (r.from_word, r.shard, r.place, r.doc_id))
+    want = [doc_id for _, _, _, doc_id in sorted(first.values(), key=lambda x: x[1:3])]
+    assert [r.doc_id for r in mixing.mixed_texts(docs, **options).collect()] == want
+
+
+def test_draws_from_large_populations():
+    good, bad, take = 6 * 10**8, 6 * 10**8, 5 * 10**8
+    spread = math.sqrt(take * 0.25 * (good + bad - take) / (good + bad - 1))
+    drawn = np.array([mixing._hypergeometric(np.random.default_rng(seed), good, bad, take) for seed in range(60)])
+    assert len(set(drawn.tolist())) > 50
+    assert abs(drawn.mean() - take / 2) < 4 * spread / math.sqrt(60)
+    assert 0.65 < drawn.std() / spread < 1.4
+    rng = np.random.default_rng(1)
+    for case in ((10**9, 5, 10**9), (3, 2 * 10**9, 2 * 10**9 + 1), (2 * 10**9, 7, 7)):
+        low, high = max(0, case[2] - case[1]), min(case[0], case[2])
+        assert low <= mixing._hypergeometric(rng, *case) <= high
+    # the summed distribution agrees with numpy's where both can be had
+    small = np.random.default_rng(2)
+    old, mixing.NUMPY_LARGEST = mixing.NUMPY_LARGEST, 0
+    try:
+        summed = np.array([mixing._hypergeometric(small, 40, 60, 30) for _ in range(4000)])
+    finally:
+        mixing.NUMPY_LARGEST = old
+    plain = small.hypergeometric(40, 60, 30, 4000)
+    assert abs(summed.mean() - plain.mean()) < 0.2 and abs(summed.std() - plain.std()) < 0.15
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in html_text.extract_pages(pages).collect()}
@@ -423,7 +500,10 @@ def test_language(spark, table):
         lettered = any(c.isalpha() for text in by[r.doc_id] for c in text)
         assert 0 <= r.score <= 1 and (r.lang_pred in references if lettered else r.lang_pred == "und")
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
-    assert language_id.keep_identified(table, references).columns == table.columns
+    kept = language_id.keep_identified(table, references)
+    assert kept.columns == table.columns
+    told = Counter((r.doc_id, r.lang_pred) for r in language_id.identify(table, references).collect() if r.lang_pred != "und")
+    assert Counter((r.doc_id, r.lang) for r in kept.collect()) == told
 
 
 def test_language_held_out_accuracy(spark):

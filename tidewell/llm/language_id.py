@@ -213,15 +213,22 @@ def identify(
 
 
 def keep_identified(
-    docs: DataFrame, references: dict[str, str], text_col: str = "text", min_score: float = 0.0
+    docs: DataFrame,
+    references: dict[str, str],
+    text_col: str = "text",
+    lang_col: str = "lang",
+    min_score: float = 0.0,
 ) -> DataFrame:
-    """The documents whose language is known with at least ``min_score``, all columns as they were."""
+    """The documents whose language is known with at least ``min_score``, all columns as they were but
+    ``lang_col``, which holds the language that was found."""
     shared = docs.sparkSession.sparkContext.broadcast(references)
 
-    @F.pandas_udf("boolean")
+    @F.pandas_udf("string")
     def known(texts):
         parser = _parser(shared.value)
         found = [parser.predict(text) for text in texts]
-        return texts.__class__([lang != UNKNOWN and score >= min_score for lang, score in found], dtype=bool)
+        return texts.__class__([lang if lang != UNKNOWN and score >= min_score else None for lang, score in found], dtype=object)
 
-    return docs.filter(known(whole_text(text_col)))
+    # not deterministic only in name: so that the filter does not make it run a second time
+    told = docs.withColumn("_found", known.asNondeterministic()(whole_text(text_col))).where("_found IS NOT NULL")
+    return told.withColumn(lang_col, F.col("_found")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,6 +9,7 @@ its quotas alone. Shards then own disjoint runs of the permuted blocks and shuff
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,16 +97,37 @@ def _draw(rng: np.random.Generator, counts: np.ndarray, take: int) -> np.ndarray
     for i, count in enumerate(counts.tolist()):
         if not take:
             break
-        # numpy's bound on its arguments; beyond it the share is as good as certain
-        small = left < 10**9
-        drawn[i] = rng.hypergeometric(count, left - count, take) if small else min(count, round(count * take / left))
-        if left - count < take - drawn[i]:
-            drawn[i] = take - (left - count)
+        drawn[i] = _hypergeometric(rng, count, left - count, take)
         left -= count
         take -= int(drawn[i])
     return drawn
 
 
+#: numpy's own bound on a population.
+NUMPY_LARGEST = 10**9
+
+
+def _hypergeometric(rng: np.random.Generator, good: int, bad: int, take: int) -> int:
+    """How many of ``take`` draws without replacement are good, for a population of any size.
+
+    Beyond numpy's bound the distribution is summed up over twelve standard deviations around its mode,
+    from the ratios of neighbouring terms, and inverted.
+    """
+    if good + bad < NUMPY_LARGEST:
+        return int(rng.hypergeometric(good, bad, take))
+    low, high = max(0, take - bad), min(good, take)
+    total = good + bad
+    mode = min(max((take + 1) * (good + 1) // (total + 2), low), high)
+    spread = math.sqrt(take * (good / total) * (bad / total) * ((total - take) / (total - 1)))
+    reach = int(12 * spread) + 50
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    steps = np.log(good - k) + np.log(take - k) - np.log(k + 1) - np.log(bad - take + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    shares = np.cumsum(np.exp(logs - logs.max()))
+    return first + int(np.searchsorted(shares, rng.random() * shares[-1], side="right"))
+
+
 def mix_documents(
     docs: DataFrame,
     weights: tuple = WEIGHTS,
@@ -218,37 +240,44 @@ def _quotas(targets: DataFrame, block_words: int, shard_blocks: int, seed: int)
 
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents with the columns of ``docs``: a document stands in it as often as it is
-    taken. The one document per source that is cut to reach the target keeps its first words, with
-    single blanks between them."""
+    """The mix as documents with the columns of ``docs``, shard after shard, each in the order of its places.
+
+    A document stands in the mix as often as it is taken, as a whole, where its first words were drawn to.
+    The one document per source that is cut to reach the target keeps its first words, with single
+    blanks between them. Texts are shuffled twice: to the draws, and to their shards.
+    """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     source_col = options.get("source_col", "source")
     mix, measured = mix_documents(docs, **options)
-    copies = mix.groupBy("row", "copy").agg(F.max("to_word").alias("words"))
-    uses = stored(
-        copies.groupBy("row").agg(F.collect_list("words").alias("uses"))  # a copy is used three times at most
-        .join(measured, "row")
-        .select("doc_id", "source", "size", "nth", "uses"),
-        "uses",
+    copies = mix.groupBy("row", "copy").agg(
+        F.max("to_word").alias("words"), F.min(F.struct("from_word", "shard", "place")).alias("at")
     )
-    size = count_words(whole_text(text_col))
-    equals = Window.partitionBy("id", "from", "words").orderBy(F.xxhash64("whole"))
+    keys = ["id_key", "source_key", "size"]
+    draws = F.collect_list(F.struct("words", "at.shard", "at.place"))  # a copy is used three times at most
+    uses = copies.groupBy("row").agg(draws.alias("uses")).join(measured, "row")
+    uses = uses.select(*_keys("doc_id", "source"), "size", "nth", "uses")
+    uses = stored(uses.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("nth", "uses"))).alias("by_nth")), "uses")
+    others = [name for name in docs.columns if name != text_col]
     rows = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("kept"),
-        F.col(id_col).alias("id"),
-        F.col(source_col).cast("string").alias("from"),
-        whole_text(text_col).alias("whole"),
-        size.alias("words"),
-    ).withColumn("number", F.row_number().over(equals))
-    found = rows.join(
-        uses,
-        rows["id"].eqNullSafe(uses["doc_id"])
-        & rows["from"].eqNullSafe(uses["source"])
-        & (rows["words"] == uses["size"])
-        & (rows["number"] == uses["nth"]),
-    ).select("kept", "whole", "words", F.explode("uses").alias("used"))
-    first_words = F.array_join(F.slice(words_of(F.col("whole")), 1, F.col("used").cast("int")), " ")
-    text = F.when(F.col("used") >= F.col("words"), F.col("whole")).otherwise(first_words)
-    return found.select(
-        *[(text if name == text_col else F.col("kept")[name]).alias(name) for name in docs.columns]
+        F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(others)]).alias("kept"),
+        *_keys(id_col, source_col),
+        F.col(text_col).cast("string").alias("whole"),
+        count_words(whole_text(text_col)).alias("size"),
+    )
+    # rows that share id, source and size are told apart by their number, as the mix tells them apart
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("whole")))
+    found = rows.join(uses, keys).withColumn("nth", number)
+    found = found.select("kept", "whole", "size", F.explode(F.element_at("by_nth", F.col("nth"))).alias("used"))
+    first_words = F.array_join(F.slice(words_of(F.col("whole")), 1, F.col("used.words").cast("int")), " ")
+    placed = found.withColumn("text", F.when(F.col("used.words") >= F.col("size"), F.col("whole")).otherwise(first_words))
+    placed = placed.select("kept", "text", F.col("used.shard").alias("shard"), F.col("used.place").alias("place"))
+    placed = placed.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return placed.select(
+        *[(F.col("text") if c == text_col else F.col(f"kept.c{others.index(c)}")).alias(c) for c in docs.columns]
     )
+
+
+def _keys(id_col: str, source_col: str) -> list[Column]:
+    """Id and source as keys that nulls share."""
+    plain = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    return [plain(id_col).alias("id_key"), plain(source_col).alias("source_key")]
