@@ -14,7 +14,7 @@ from tidewell.llm.queries import TOKENIZER
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; texts without a letter go."""
+    """Documents in a language that can be told, with that language; texts without a letter go."""
     return language_id.keep_identified(docs, language_id.learn(docs))
 
 
@@ -29,7 +29,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources in their target shares; a document stands as often as the mix takes it."""
+    """The sources in their target shares, shard after shard; a document stands as often as the mix takes it."""
     return mixing.mixed_texts(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
