@@ -425,6 +425,19 @@ def lake_time_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lake_tag_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag predicates on a stored table become buckets by the sub-tables it lists at each write."""
+    lake = _lake(spark, "lake-tags")
+    table = lake.create_table("power", replace(_meters_spec(spark, sf_dir), buckets=16))
+    rows = _meters(spark, sf_dir)
+    table.append(rows.where("event_id % 2 = 0"), batch="even")
+    table.compact()
+    table.append(rows.where("event_id % 2 = 1"), batch="odd")
+    tags = ("tbname in ('d3', 'd14', 'd15')", "groupid = 4 and tbname like 'd1%'")
+    request = ScanRequest(select="event_id, groupid, tbname", table="meters", tags=tags)
+    return lake.scan("power", request).withColumnRenamed("slice", "tag_slice")
+
+
 def sink_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     spec = TableSpec.normal(
@@ -949,6 +962,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sink_compacted,
         table_read_pruned,
         lake_time_slices,
+        lake_tag_slices,
         sink_normal,
         sink_normal_range,
         sink_parallelism,

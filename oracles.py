@@ -195,6 +195,13 @@ ORACLES: dict[str, str] = {
         WHERE ts >= TIMESTAMP '2024-01-04 16:00:00' AND ts < TIMESTAMP '2024-01-20 04:30:00' GROUP BY 1
         """
     ),
+    "lake_tag_slices": _m(
+        """
+        SELECT CAST(0 AS INTEGER) AS tag_slice, event_id, groupid, tbname FROM K WHERE tbname IN ('d3', 'd14', 'd15')
+        UNION ALL
+        SELECT CAST(1 AS INTEGER), event_id, groupid, tbname FROM K WHERE groupid = 4 AND tbname LIKE 'd1%'
+        """
+    ),
     "sink_normal": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "sink_bind": _RAW,
     "insert_select": _STORED,

@@ -194,6 +194,40 @@ def test_listed_sub_tables_read_few_bytes(lake, spark):
     assert sorted(frame.collect()) == sorted(few.collect())
 
 
+def test_tag_predicates_read_matching_buckets(lake, spark):
+    """Also over a base and the log; a predicate on other columns reads everything."""
+    spec = TableSpec.super("tagged", meters.COLUMNS, order_by=("phase",), buckets=64, fixed_tags=True)
+    table = lake.create_table("power", spec)
+    many = spark.range(400).select(
+        F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"),
+        F.lit(1.0).cast("float").alias("current"),
+        F.col("id").cast("int").alias("voltage"),
+        F.lit(0.5).cast("float").alias("phase"),
+        F.concat(F.lit("place"), F.col("id") % 100).alias("location"),
+        (F.col("id") % 100).cast("int").alias("groupid"),
+        F.concat(F.lit("t"), F.col("id") % 100).alias("tbname"),
+    )
+    table.append(many.where("voltage < 300"))
+    table.compact()
+    table.append(many.where("voltage >= 300"))
+    request = ScanRequest(table="tagged", tags=("groupid = 7", "location = 'place8'", "groupid = 7"))
+    rows = lake.scan("power", request)
+    assert sorted((r["slice"], r["tbname"]) for r in rows.collect()) == [(0, "t7")] * 4 + [(1, "t8")] * 4 + [(2, "t7")] * 4
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(rows))
+    assert filters and all("bucket" in f for f in filters)
+    read = table.read(tags=["groupid = 7"])
+    assert len({r["bucket"] for r in spark.read.parquet(f"{table.path}/log").select("bucket").distinct().collect()}) > 30
+    assert read.select("tbname").distinct().count() < 10 and read.where("groupid = 7").count() == 4
+    assert table.read(tags=["voltage = 3"]).count() == 400 and table.read(tags=[]).count() == 0
+    assert table.tags().count() == 100 and table.tags().where("groupid = 9").first()["location"] == "place9"
+    topic = lake.create_topic("tagged", table)
+    stream = topic.read(topic.group("g"), "earliest").writeStream.format("memory").queryName("tagged_rows")
+    stream.trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("tagged_rows").count() == 400  # lists of sub-tables are not rows
+    table.vacuum()
+    assert table.tags().count() == 100 and table.read().count() == 400
+
+
 def test_sub_table_lists_of_rows_with_maps(spark):
     from tidewell.operators import read_tables
 

@@ -80,4 +80,6 @@ class Lake:
         time = request.time
         if time is not None and not time.empty and time.column == store.spec.time and request.limit is None:
             start, end = time.start, time.end
-        return scan(self.spark, request, {request.table: store.read(start, end, request.tables)})
+        # a limit applies before the predicates, which then must not narrow what is read
+        tags = request.tags if request.limit is None else None
+        return scan(self.spark, request, {request.table: store.read(start, end, request.tables, tags)})

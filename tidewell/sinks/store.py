@@ -10,6 +10,8 @@
     commit that has not been moved yet moves it. Writing an id again replaces that batch by the one
     with the larger number; nothing is deleted for it. The number also decides between two rows with an
     equal key and order: the later one stays.
+    Where tags are fixed and there are buckets, its ``_subtables`` list the sub-tables of the write, so
+    that predicates on tags become sets of buckets.
 ``base/gen=<n>/period=/bucket=``
     what compaction made of the log: one row per key. Its ``_folded.json``, written last,
     names the batches it holds and the periods it replaces in older generations.
@@ -30,6 +32,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import fs
@@ -43,6 +46,8 @@ COMMIT = "_commit"  # the number of the write; NULL in the base, which is older
 BATCH = "_batch"
 REJECTS = "_rejects"
 SALTS = 8
+#: Beside the files of a commit or a generation, where Spark's listings pass it over: its sub-tables.
+SUB_TABLES = "_subtables"
 
 
 class TableStore:
@@ -147,8 +152,22 @@ class TableStore:
         else:
             periods = {batch: [""] for batch in batches}
         described = {b: {"periods": periods[b], "distinct": b not in repeating} for b in batches}
+        self._list_sub_tables(staged)
         self._commit(staged, described)
 
+    @property
+    def _has_tag_index(self) -> bool:
+        """Whether sub-tables are listed at each write: where tags are functions of the sub-table, and there
+        are buckets to leave out."""
+        return self.spec.super_table and self.spec.fixed_tags and bool(self.spec.tags) and self.spec.buckets > 1
+
+    def _list_sub_tables(self, folder: str) -> None:
+        """The sub-tables of what was written, with their tags and buckets, from these columns only."""
+        if self._has_tag_index:
+            rows = self.spark.read.schema(self._stored_schema).parquet(folder)
+            listed = rows.groupBy(TBNAME, "bucket").agg(*[F.max(F.col(f"`{t}`")).alias(t) for t in self.spec.tags])
+            listed.write.parquet(f"{folder}/{SUB_TABLES}")
+
     def _commit(self, staged: str, described: dict[str, dict]) -> None:
         """Take the next number for what is staged and move it into the log."""
         counts = self._rows_of_files(staged) if self.spec.numbered else {}
@@ -319,14 +338,17 @@ class TableStore:
         start: datetime | None = None,
         end: datetime | None = None,
         tables: Sequence[str] | None = None,
+        tags: Sequence[str] | None = None,
     ) -> DataFrame:
         """The table's rows, one per key, as of now.
 
         ``start`` (inclusive), ``end`` (exclusive) and ``tables`` restrict the key; the derived
-        conditions on ``period`` and ``bucket`` leave out whole folders. Conditions on other columns
+        conditions on ``period`` and ``bucket`` leave out whole folders. Predicates ``tags`` on fixed tags
+        leave out buckets without a sub-table that matches any; rows of the others are not tested. Conditions on other columns
         belong on the result: they must not see rows that a later one has replaced.
         """
         base, log, periods = self._current()
+        buckets = self._buckets_of_tags(base, log, tags) if tags is not None else None
         whole = [f for period, f in base.items() if period not in periods]
         rewritten = [f for period, f in base.items() if period in periods]
         single = {
@@ -338,9 +360,9 @@ class TableStore:
         alone = self._log_folders(log, single)
         mixed = self._log_folders(log, periods.keys() - single)
         collapsed = _union(self._files("base", rewritten), self._files("log", mixed))
-        collapsed = self._collapsed(self._restricted(collapsed, start, end, tables))
+        collapsed = self._collapsed(self._restricted(collapsed, start, end, tables, buckets))
         rows = _union(self._files("base", whole), self._files("log", alone))
-        rows = _union(self._restricted(rows, start, end, tables), collapsed)
+        rows = _union(self._restricted(rows, start, end, tables, buckets), collapsed)
         if rows is None:
             rows = self.spark.createDataFrame([], self._stored_schema)
         return rows.select(*self.spec.schema.names)
@@ -368,9 +390,33 @@ class TableStore:
                 folders.append(folder)
         return folders
 
-    def _restricted(self, rows: DataFrame | None, start, end, tables) -> DataFrame | None:
+    def _sub_tables(self, base: dict[str, str], log: dict[str, dict]) -> DataFrame | None:
+        """The sub-tables listed beside the commits and generations that are in use."""
+        commits = {self._commit_folder(described["commit"]) for described in log.values()}
+        folders = [f"{self.path}/log/{c}" for c in sorted(commits)]
+        folders += sorted({f"{self.path}/base/{folder.split('/')[0]}" for folder in base.values()})
+        if not self._has_tag_index or not folders:
+            return None
+        kinds = {f.name: f for f in self.spec.schema.fields}
+        schema = T.StructType([kinds[TBNAME], T.StructField("bucket", T.IntegerType()), *[kinds[t] for t in self.spec.tags]])
+        return self.spark.read.schema(schema).parquet(*[f"{folder}/{SUB_TABLES}" for folder in folders])
+
+    def _buckets_of_tags(self, base: dict[str, str], log: dict[str, dict], tags: Sequence[str]) -> list[int] | None:
+        """The buckets that hold a sub-table which matches any predicate; None if the listed tags can't tell."""
+        listed = self._sub_tables(base, log)
+        if listed is None:
+            return None
+        try:
+            matching = listed.where(" OR ".join(f"({tag})" for tag in tags) if tags else "false")
+        except AnalysisException:  # a predicate on other columns than tags
+            return None
+        return [row["bucket"] for row in matching.select("bucket").distinct().collect()]  # as many as there are buckets
+
+    def _restricted(self, rows: DataFrame | None, start, end, tables, buckets=None) -> DataFrame | None:
         if rows is None:
             return None
+        if buckets is not None:
+            rows = rows.where(F.col("bucket").isin(buckets))
         moment = F.col(self.spec.time)
         if start is not None:
             rows = rows.where(moment >= _instant(start))
@@ -408,10 +454,13 @@ class TableStore:
     def tags(self) -> DataFrame:
         """One row per sub-table: its name and its tags, as of its latest row.
 
-        Copies of a row do no harm here, so nothing is collapsed: tasks send one row per
-        sub-table.
+        Fixed tags of a table with buckets are listed at each write and read from there. Else they come from
+        the rows; copies do no harm then, so nothing is collapsed: tasks send one row per sub-table.
         """
         base, log, _ = self._current()
+        listed = self._sub_tables(base, log)
+        if listed is not None:
+            return listed.groupBy(TBNAME).agg(*[F.max(F.col(f"`{t}`")).alias(t) for t in self.spec.tags])
         folders = [self._batch_folder(b, described) for b, described in log.items()]
         rows = _union(self._files("base", list(base.values())), self._files("log", folders))
         if rows is None:
@@ -435,6 +484,7 @@ class TableStore:
             number += 1
         target = f"{self.path}/base/gen={number}"
         self._write(rows, target)
+        self._list_sub_tables(target)
         fs.write_json(self.spark, f"{target}/_folded.json", {"batches": sorted(fresh), "periods": periods})
 
     def vacuum(self) -> None:
