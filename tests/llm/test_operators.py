@@ -3,6 +3,7 @@
 import hashlib
 import html
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -258,7 +259,7 @@ def test_pages_without_an_article_element(spark):
         words = " ".join(f"word{i}x{k}" for k in range(60))
         return (
             f"<html><head><title>t{i}</title></head><body><div class='top'><a href='/'>Home</a> <a href='/x'>News</a></div>"
-            f"<div class='a'><div class='b'><h2>Title {i}</h2><p>{words}</p><p>R&amp;D &lt;{i}&gt;\n  end<p>open</div>"
+            f"<div class='a'><div class='b'><h2>Title {i}</h2><p>{words}</p><p>R&amp;D &lt;{i}&gt;\n  end<p>open {i}</div>"
             f"<div class='c'><p>Fixed notice</p></div></div><div id=comments><p>first {words}</p></div>"
             f"<form><p>Name {i}</p></form><div>Copyright</div></body></html>"
         )
@@ -271,7 +272,7 @@ def test_pages_without_an_article_element(spark):
     by_id = {r.page_id: r.text for r in got}
     for i in range(12):
         words = " ".join(f"word{i}x{k}" for k in range(60))
-        assert by_id[i] == f"Title {i}\n{words}\nR&D <{i}> end\nopen"
+        assert by_id[i] == f"Title {i}\n{words}\nR&D <{i}> end\nopen {i}"
     assert by_id[50] == by_id[51] == "" and by_id[52] == "text <b"
     assert html_text.extract_pages(pages.limit(0)).count() == 0
 
@@ -307,6 +308,47 @@ def test_main_text_is_whole(spark):
     assert html_text.extract(f"<body><div class=widget>{body(1)}</div></body>") == lines(1)
 
 
+@pytest.mark.parametrize("pages", [2, 3, 40])
+def test_the_template_takes_constant_siblings_out(spark, pages):
+    """A line that the pages of a host share goes, wherever it stands; without the template it stays."""
+    rng = random.Random(9)
+    prose = lambda i, k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) + f" page {i} part {k}"
+    notice = "This text first appeared elsewhere. Write to us to get more of it every week."
+    own, rows = {}, []
+    for i in range(pages):
+        own[i] = [f"Title {i}", *[prose(i, k) for k in range(rng.randrange(3, 9))]]
+        inner = "".join(f"<p>{x}</p>" for x in own[i][1:])
+        body = (
+            f"<article><h1>{own[i][0]}</h1><p>Read in two minutes, says the editor</p>{inner}<p>{notice}</p></article>"
+            if i % 2 else
+            f"<article><h1>{own[i][0]}</h1><p>Read in two minutes, says the editor</p>{inner}<p>{notice}</p>"
+            "<section class=replies><p>nice one " + str(i) + "</p></section></article>"
+        )
+        rows.append((i, f"http://host.example/{i}", f"<body><div>Home</div>{body}</body>"))
+    rows.append((99, "http://single.example/", f"<article><p>{notice}</p><p>more</p></article>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in html_text.extract_pages(df).collect()}
+    assert found.pop(99) == f"{notice}\nmore"
+    assert found == {i: "\n".join(texts) for i, texts in own.items()}
+    assert all(notice in html_text.extract(html) for _, _, html in rows)
+
+
+def test_pages_of_one_article_keep_it(spark):
+    page = "<article><h1>Same</h1>" + "".join(f"<p>part {k} of the only article</p>" for k in range(5)) + "</article>"
+    df = spark.createDataFrame([(i, "http://copies.example/", page) for i in range(6)], "page_id long, url string, html string")
+    texts = {r.text for r in html_text.extract_pages(df).collect()}
+    assert texts == {"Same\n" + "\n".join(f"part {k} of the only article" for k in range(5))}
+
+
+def test_finished_templates_are_small():
+    total = None
+    for i in range(300):
+        page = html_text.template_of(html_text.parse("<div><p>same</p>" + "".join(f"<p>own {i} {k}</p>" for k in range(8)) + "</div>"))
+        total = page if total is None else html_text.add_templates(total, page)
+    small = html_text.without_rare_texts(total)
+    assert list(small[5][0][5][0][4]) == [html_text._digest("same")] and len(str(small)) < 300
+
+
 def test_deep_and_broken_pages():
     assert "deep" in html_text.extract("<div>" * 5000 + "deep" + "</div>" * 5000)
     assert html_text.extract("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>") == "a\nb\nc\nd"

@@ -49,8 +49,8 @@ NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary searc
 NOT_CONTENT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disqus footer form header login masthead menu modal nav navbar navigation newsletter notice notices "
-    "pagination pager popup promo related respond search share sharing sidebar signup social sponsor sponsored "
-    "subscribe toolbar widget".split()
+    "pagination pager popup promo reactions related replies reply respond search share sharing sidebar signup social "
+    "sponsor sponsored subscribe toolbar widget".split()
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,10 +61,11 @@ _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 DEEPEST = 150
-#: Texts that a template node remembers with their counts; a text on over 1/8 of the pages stays.
-TEXTS = 8
-#: A node is template if its text is the same on this share of at least so many pages.
-CONSTANT, LEAST_PAGES = 0.5, 4
+#: Texts that a template node remembers with their counts. Where a page has k siblings of a label side by side,
+#: a text is counted k / TEXTS of the pages too low at most.
+TEXTS = 64
+#: A text is template if it stands at its node on more than this share of at least so many pages.
+CONSTANT, LEAST_PAGES = 0.5, 2
 #: Templates that one merging task takes.
 MERGED = 256
 
@@ -206,7 +207,8 @@ def _amounts(node: Node) -> tuple[int, int]:
 
 # -- templates ---------------------------------------------------------------------------
 # A template node is a list [label, pages, own characters, own characters in links, texts, children];
-# texts maps a digest of the node's own text to the pages that have it.
+# texts maps a digest of the node's own text to the pages that have it; for adjacent siblings of one label,
+# which are one node, it has the text of each.
 
 
 def template_of(node: Node, seen: dict[int, list] | None = None) -> list:
@@ -227,7 +229,8 @@ def template_of(node: Node, seen: dict[int, list] | None = None) -> list:
 
 
 def _digest(text: str) -> str:
-    return hashlib.md5(text.encode(errors="surrogatepass")).hexdigest()[:12]
+    """A digest that ends with the text's length."""
+    return f"{hashlib.md5(text.encode(errors='surrogatepass')).hexdigest()[:12]}:{len(text)}"
 
 
 def _joined(a: list, b: list) -> list:
@@ -235,8 +238,7 @@ def _joined(a: list, b: list) -> list:
     children = add_templates([a[0], 0, 0, 0, {}, a[5]], [a[0], 0, 0, 0, {}, b[5]])[5]
     for child in children:
         child[1] = 1
-    both = [*a[4], *b[4]]
-    return [a[0], 1, a[2] + b[2], a[3] + b[3], {_digest("".join(both)): 1} if both else {}, children]
+    return [a[0], 1, a[2] + b[2], a[3] + b[3], dict.fromkeys([*a[4], *b[4]], 1), children]
 
 
 def align(a: list[str], b: list[str], value) -> list[tuple[int, int]]:
@@ -299,9 +301,26 @@ def add_templates(a: list, b: list) -> list:
     return [a[0], a[1] + b[1], a[2] + b[2], a[3] + b[3], texts, children]
 
 
+def _common(template: list) -> dict[str, int]:
+    """The texts that stand at the node on most pages that have it, with the number of these."""
+    if template[1] < LEAST_PAGES:
+        return {}
+    return {text: count for text, count in template[4].items() if count > CONSTANT * template[1]}
+
+
+def fixed_chars(template: list) -> int:
+    """Of the node's own characters on all pages those of texts that are template."""
+    return min(template[2], sum(count * int(text.split(":")[1]) for text, count in _common(template).items()))
+
+
 def constant(template: list) -> bool:
-    """Whether the node's own text is the same on most pages that have it."""
-    return template[1] >= LEAST_PAGES and max(template[4].values(), default=0) > CONSTANT * template[1]
+    """Whether most of the node's own text is the same on most pages that have it."""
+    return template[2] > 0 and 2 * fixed_chars(template) > template[2]
+
+
+def without_rare_texts(template: list) -> list:
+    """A finished template: only texts that are template are still of use, and nodes that hold or lead to any."""
+    return [*template[:4], _common(template), [without_rare_texts(child) for child in template[5]]]
 
 
 def varying(template: list) -> float:
@@ -311,7 +330,7 @@ def varying(template: list) -> float:
         pass
     elif tag in NOT_CONTENT or {part.lower() for part in _NAME_PARTS.findall(name)} & NOT_CONTENT_NAMES:
         return 0.0
-    own = 0 if constant(template) else template[2] - 2 * template[3]
+    own = 0 if constant(template) else template[2] - fixed_chars(template) - 2 * template[3]
     return max(0, own) + sum(map(varying, template[5]))
 
 
@@ -486,7 +505,13 @@ def _same_article(template: list, path: list[int]) -> bool:
     """Whether most pages of the host repeat one article, so that what they share is no template."""
     for step in path:
         template = template[5][step]
-    return any(map(constant, sorted(template[5], key=lambda child: -child[2])[:1] or [template]))
+
+    def sums(node: list) -> tuple[int, int]:
+        below = [sums(child) for child in node[5]]
+        return fixed_chars(node) + sum(f for f, _ in below), node[2] + sum(t for _, t in below)
+
+    fixed, total = sums(template)
+    return 2 * fixed > total
 
 
 def _linked(node: Node) -> bool:
@@ -510,20 +535,15 @@ def _mark(
     own = [seen[id(run[0])] for run in runs]
     for i, j in pairs_of(own, template[5]):
         part = template[5][j]
-        common = _common(part) if not part[5] and constant(part) else set()
+        common = _common(part)
         down = path[1:] if path and path[0] == j else None
         for child in runs[i]:
-            texts = seen[id(child)][4]
-            if texts and texts.keys() <= common:
+            if not child.children and seen[id(child)][4].keys() & common.keys():
                 fixed.add(id(child))
             found = _mark(child, part, down, fixed, seen) or found
     return found
 
 
-def _common(template: list) -> set[str]:
-    return {text for text, count in template[4].items() if count > CONSTANT * template[1]}
-
-
 # -- jobs --------------------------------------------------------------------------------
 
 _TEMPLATES = "host string, task int, template string"
@@ -559,6 +579,10 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _finish(templates: pd.Series) -> pd.Series:
+    return templates.map(lambda text: json.dumps(without_rare_texts(json.loads(text))))
+
+
 def induce(pages: DataFrame) -> DataFrame:
     """(host, template) from rows of (host, html), over all pages."""
     found = pages.select(F.spark_partition_id().alias("task"), "host", "html").mapInArrow(_fold, _TEMPLATES)
@@ -568,7 +592,7 @@ def induce(pages: DataFrame) -> DataFrame:
         found = found.groupBy("host", salt).applyInPandas(_merge, _TEMPLATES)
         tasks = -(-tasks // MERGED)
         if tasks <= 1:
-            return found.select("host", "template")
+            return found.select("host", F.pandas_udf(_finish, "string")("template").alias("template"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
