@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidewell.llm import (
+    _common,
     exact_dedup,
     html_text,
     language_id,
@@ -676,6 +677,18 @@ def test_queries_equal_their_sql(spark, key):
     assert check.compare(spark, SF, key).startswith("equal")
 
 
+def test_the_pipeline_leaves_its_last_tables_only(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(_common, "shared_folder", lambda s, label: made.append(f"file://{tmp_path}/{label}-{len(made)}") or made[-1])
+    rows = corpus_pipeline.run(spark, SF)
+    assert rows.count() > 0 and len(made) > 20
+    left = sorted(path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir())
+    assert left == ["mix_sources", "pieces"]
+    empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+
+
 def test_pipeline_stages(spark):
     source = spark.read.parquet(f"{SF}/documents.parquet")
     docs, columns = source, source.columns

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .. import fs
 from ..session import shared_folder
 
 #: The letters that are folded, nothing beyond ASCII.
@@ -43,14 +45,32 @@ def finite_vectors(vectors: DataFrame, column: str) -> DataFrame:
     return vectors.withColumn(column, F.col(column).cast("array<double>")).where(whole)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+_OWNED: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is deleted at the end; a result that needs it must be written by then."""
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            fs.delete(spark, path)
+
+
+def stored(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
     """``df`` written once below the shared folder and read from there.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the jobs before them, and
     what follows reads files without an inherited partitioning, so that skewed joins can be split.
+    It goes with the scratch it is made in, unless it is ``kept`` for the one around that.
     """
     spark = df.sparkSession
     path = shared_folder(spark, label)
+    owners = _OWNED[:-1] if kept else _OWNED
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
