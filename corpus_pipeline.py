@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.llm import exact_dedup, language_id, mixing, packing, simhash
-from tidewell.llm._common import stored
+from tidewell.llm._common import scratch, stored
 from tidewell.llm.queries import TOKENIZER
 
 
@@ -51,7 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage stores on its way is deleted once its documents are written,
+    and these once the next stage's are; the last stage's stay, as its rows are read from them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch(spark):
+        for name, stage in STAGES[:-2]:
+            with scratch(spark):
+                docs = stored(stage(spark, docs, sf_dir), name, kept=True)
+        name, stage = STAGES[-2]
+        mixed_docs = stored(stage(spark, docs, sf_dir), name, kept=True)
+    return STAGES[-1][1](spark, mixed_docs, sf_dir)
