@@ -670,6 +670,25 @@ def test_slabs_hold_every_window(monkeypatch):
     assert seen == Counter({(t, i): 1 for t, text in enumerate(texts) for i in range(len(text) - 49)})
 
 
+def test_equal_windows_elect_alike_in_slabs_of_any_length():
+    """Hashes that agree above the mask are told apart by their place only, so the mask must be one."""
+    rng = np.random.default_rng(6)
+    passage = rng.integers(0, 256, 400).astype(np.uint8).tobytes()
+
+    def elected(before, after):
+        data = np.frombuffer(before + passage + after + b"\0\0\0\0", np.uint8)
+        hashes, place, first, last = suffix_dedup.elections(data, np.array([len(data) - 4]))
+        begin = len(before)
+        found = {}
+        for p, a, b in zip(place.tolist(), first.tolist(), last.tolist()):
+            found |= {w - begin: p - begin for w in range(a, b + 1) if 0 <= w - begin <= 350}
+        return found
+
+    short = elected(b"", b"")
+    assert len(short) == 351
+    assert short == elected(rng.integers(0, 256, 2_000_000).astype(np.uint8).tobytes(), b"x" * 100)
+
+
 @pytest.mark.parametrize("key", list(queries.ORACLES))
 def test_queries_equal_their_sql(spark, key):
     import check

@@ -70,7 +70,8 @@ def elections(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if n <= 0:
         empty = np.empty(0, np.int64)
         return np.empty(0, np.uint64), empty, empty, empty
-    bits = np.uint64(len(data).bit_length())
+    # one mask for slabs of any length, so that equal windows elect alike wherever they stand
+    bits = np.uint64((SLAB + LEAST + 4).bit_length())
     low = (np.uint64(1) << bits) - np.uint64(1)
     least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     width = 1
