@@ -556,6 +556,21 @@ def test_language_held_out_accuracy(spark):
     assert right >= 0.98 * all_of_them
 
 
+def test_any_number_of_languages_is_learned(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(rng.choice(words) for _ in range(40)), f"l{k:02d}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    references = language_id.learn(docs, all_chars=70 * 900)
+    assert len(references) == 70 and all(600 < len(text) <= 900 for text in references.values())
+    told = {r.doc_id: (r.held_out, r.lang_pred) for r in language_id.identify(docs, references).collect()}
+    held = [(lang, told[i][1]) for i, _, lang in rows if told[i][0]]
+    assert len(held) > 200 and sum(a == b for a, b in held) / len(held) > 0.97
+
+
 def test_suffix_automaton():
     text = "abracadabra abra"
     automaton = language_id.SuffixAutomaton(text)

@@ -19,12 +19,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ._common import kept_in_process, whole_text
 
 UNKNOWN = "und"
-#: Documents per language that are fitted on, and characters of text per language.
-SAMPLE_DOCS, SAMPLE_CHARS = 128, 40_000
+#: Documents per language that are drawn to fit on, and characters of text per language and of all languages.
+SAMPLE_DOCS, SAMPLE_CHARS, ALL_CHARS = 128, 40_000, 2_560_000
 #: Words whose counts a worker remembers, and the longest word that is remembered.
 REMEMBERED, LONGEST = 300_000, 64
-#: The most frequent languages are learned, so many at most.
-MOST_LANGUAGES = 64
 
 
 class SuffixAutomaton:
@@ -148,31 +146,30 @@ def learn(
     lang_col: str = "lang",
     sample_docs: int = SAMPLE_DOCS,
     sample_chars: int = SAMPLE_CHARS,
-    most_languages: int = MOST_LANGUAGES,
+    all_chars: int = ALL_CHARS,
 ) -> dict[str, str]:
     """Reference text per language, from a bounded sample of the labelled documents not held out.
 
-    Per language, ``sample_docs`` documents in a fixed pseudo-random order, up to ``sample_chars``
-    characters; of more than ``most_languages`` languages the most frequent. This bounds what the
-    driver holds.
+    Every language is learned, from up to ``sample_chars`` characters, or its share of ``all_chars`` if there
+    are more languages than that suffices for. They come from the beginnings of up to ``sample_docs``
+    documents in a fixed pseudo-random order, ``4 * sample_chars / sample_docs`` characters of each (1,250 by default,
+    so that 32 long documents fill the text). This bounds what the driver holds.
     """
     labelled = docs.select(
         F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
-    frequent = [
-        row.lang
-        for row in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    ]
+    languages = [row.lang for row in labelled.select("lang").distinct().collect()]
     part = max(1, 4 * sample_chars // sample_docs)
+    sample_chars = min(sample_chars, max(1, all_chars // max(1, len(languages))))
+    sample_docs = min(sample_docs, -(-4 * sample_chars // part))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     sample = (
-        labelled.filter(F.col("lang").isin(frequent))
-        .select("lang", "doc_id", F.substring("text", 1, part).alias("text"))
+        labelled.select("lang", "doc_id", F.substring("text", 1, part).alias("text"))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample_docs)
         .collect()
     )
-    references = dict.fromkeys(frequent, "")
+    references = dict.fromkeys(sorted(languages), "")
     for row in sorted(sample, key=lambda row: (row.lang, row.place)):
         if len(references[row.lang]) < sample_chars:
             references[row.lang] += " " + row.text
