@@ -20,7 +20,7 @@ from ._common import LOWER, UPPER, kept_in_process, stored, whole_text
 SEQUENCE = 2048
 #: Sequences a task holds open, and pieces that it takes on average, 24 bytes each.
 OPEN, PIECES_PER_TASK = 16_384, 20_000
-#: Parts, and words, whose ids a worker remembers; when full it starts anew.
+#: Parts, and words, whose ids a worker remembers, some 400 bytes each; when full it starts anew.
 REMEMBERED = 1_000_000
 #: Texts that are tokenized together.
 TEXTS_AT_ONCE = 256
@@ -41,9 +41,10 @@ class WordIds:
     are folded. Parts and words repeat; their ids are remembered up to a bound.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self._remembered = remembered
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         vocabulary = self._tokenizer.get_vocab()
         self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -54,7 +55,7 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self._parts) > REMEMBERED:
+        if len(self._parts) > self._remembered:
             self._parts.clear()
         missing = set().union(*split).difference(self._parts)
         if missing:
@@ -63,7 +64,7 @@ class WordIds:
         return [b"".join(map(known, parts)) for parts in split]
 
     def _learn(self, parts: set[str]) -> None:
-        if len(self._words) > REMEMBERED:
+        if len(self._words) > self._remembered:
             self._words.clear()
         composed, others = [], []
         for part in parts:
@@ -97,15 +98,15 @@ class WordIds:
         return {part: np.array(x.ids, "<u4").tobytes() for part, x in zip(parts, found)}
 
 
-def _encoder(tokenizer_file: str) -> WordIds:
+def _encoder(tokenizer_file: str, remembered: int) -> WordIds:
     """One encoder per worker process; its tasks share what it remembers."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
-    return kept_in_process(("ids", tokenizer_file), lambda: WordIds(tokenizer_file))
+    return kept_in_process(("ids", tokenizer_file, remembered), lambda: WordIds(tokenizer_file, remembered))
 
 
-def _tokenize(tokenizer_file: str, size: int):
+def _tokenize(tokenizer_file: str, size: int, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_file)
+        encoder = _encoder(tokenizer_file, remembered)
         step = 4 * size
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
@@ -187,6 +188,7 @@ def pack_documents(
     size: int = SEQUENCE,
     most_open: int = OPEN,
     pieces_per_task: int = PIECES_PER_TASK,
+    remembered: int = REMEMBERED,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -196,10 +198,11 @@ def pack_documents(
     documents longer than ``size`` are cut. Repeated rows and repeated or null ids are packed like
     any others; other columns are not read. The ids stay with the documents: only the sizes of the
     pieces are shuffled, pseudo-randomly but always alike, to tasks of about ``pieces_per_task`` pieces,
-    which take the longest first, as best-fit then leaves the least space. An empty table gives no rows.
+    which take the longest first, as best-fit then leaves the least space. ``remembered`` words take memory
+    of a worker and save time. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    pieces = stored(texts.mapInArrow(_tokenize(tokenizer_file, size), _PIECES), "pieces")
+    pieces = stored(texts.mapInArrow(_tokenize(tokenizer_file, size, remembered), _PIECES), "pieces")
     tasks = max(2, -(-pieces.count() // pieces_per_task))
     order = F.xxhash64("doc_id", "piece", "ids_crc32")
     return (
