@@ -35,7 +35,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their places in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, TOKENIZER)
+    # the workers of a whole pipeline have held other models before, so they remember fewer words
+    return packing.pack_documents(docs, TOKENIZER, remembered=250_000)
 
 
 STAGES = [
